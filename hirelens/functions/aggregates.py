@@ -52,7 +52,7 @@ def percent(hits: Column, count: Column, digits: int = 2) -> Column:
 
 def percent_if(condition: Column, digits: int = 2) -> Column:
     """Share of the rows of a group that satisfy the condition."""
-    return percent(F.count_if(condition), F.count(F.lit(1)), digits)
+    return percent(F.count_if(condition), F.count("*"), digits)
 
 
 def spread(amount: str) -> Column:

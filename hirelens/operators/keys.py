@@ -42,7 +42,7 @@ def dense_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
     position = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)

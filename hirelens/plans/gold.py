@@ -28,7 +28,7 @@ def company_rows(silver: DataFrame) -> DataFrame:
     return silver.groupBy("company_name").agg(
         F.min_by("company_domain", "job_id").alias("company_domain"),
         F.min_by("company_industry", "job_id").alias("company_industry"),
-        F.count(F.lit(1)).alias("total_jobs_posted"),
+        F.count("*").alias("total_jobs_posted"),
     )
 
 
@@ -48,7 +48,7 @@ def dim_location(silver: DataFrame) -> DataFrame:
         F.col("city_normalized").alias("city"),
         F.col("country_normalized").alias("country"),
         "is_remote",
-    ).agg(F.count(F.lit(1)).alias(WEIGHT))
+    ).agg(F.count("*").alias(WEIGHT))
     order = [F.col(name) for name in ("city", "country", "is_remote")]
     return dense_key(places, "location_key", order)
 
@@ -69,7 +69,7 @@ def dim_date(silver: DataFrame) -> DataFrame:
 
 
 def dim_skill(silver: DataFrame) -> DataFrame:
-    tags = skill_mentions(silver).groupBy("skill_name").agg(F.count(F.lit(1)).alias(WEIGHT))
+    tags = skill_mentions(silver).groupBy("skill_name").agg(F.count("*").alias(WEIGHT))
     return dense_key(tags, "skill_key", [F.col("skill_name")])
 
 
@@ -125,7 +125,7 @@ def bridge(silver: DataFrame, skills: DataFrame) -> DataFrame:
 def top_skills(silver: DataFrame) -> DataFrame:
     mentions = skill_mentions(silver, "job_id", "annual_salary_usd", "is_remote")
     return mentions.groupBy("skill_name").agg(
-        F.count(F.lit(1)).alias("posting_count"),
+        F.count("*").alias("posting_count"),
         A.mean("annual_salary_usd").alias("avg_salary_usd"),
         A.percent_if(F.col("is_remote")).alias("remote_percentage"),
     )
@@ -135,7 +135,7 @@ def salary_by_role_city(silver: DataFrame) -> DataFrame:
     paid = silver.filter("annual_salary_usd IS NOT NULL")
     city = F.col("city_normalized").alias("city")
     return paid.groupBy("role_category", city, "experience_level").agg(
-        F.count(F.lit(1)).alias("total_postings"),
+        F.count("*").alias("total_postings"),
         A.mean("annual_salary_usd").alias("avg_annual_salary"),
         A.lowest("annual_salary_usd").alias("min_annual_salary"),
         A.highest("annual_salary_usd").alias("max_annual_salary"),
@@ -144,7 +144,7 @@ def salary_by_role_city(silver: DataFrame) -> DataFrame:
 
 def remote_trends(silver: DataFrame) -> DataFrame:
     return silver.groupBy("role_category", "is_remote").agg(
-        F.count(F.lit(1)).alias("total_jobs"),
+        F.count("*").alias("total_jobs"),
         A.mean("annual_salary_usd").alias("avg_salary"),
         A.mean_int("skills_count", 2).alias("avg_skills_required"),
     )
@@ -152,7 +152,7 @@ def remote_trends(silver: DataFrame) -> DataFrame:
 
 def company_hiring(silver: DataFrame) -> DataFrame:
     return silver.groupBy("company_name", "company_industry").agg(
-        F.count(F.lit(1)).alias("open_positions"),
+        F.count("*").alias("open_positions"),
         A.mean("annual_salary_usd").alias("avg_offered_salary"),
         A.percent_if(F.col("is_remote")).alias("pct_remote"),
     )
