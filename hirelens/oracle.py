@@ -122,8 +122,8 @@ SELECT
   strftime(o_orderdate + INTERVAL 1 DAY, '{ISO}') AS scraped_at,
   'https://jobs.example.com/' || {K} AS url,
   CASE WHEN {K} % 103 <> 0 THEN strftime(
-       o_orderdate + INTERVAL 2 DAY
-       + CASE WHEN copy = 2 THEN INTERVAL 6 HOUR ELSE INTERVAL 0 HOUR END, '{ISO}') END
+       TIMESTAMP '2002-01-01' + to_seconds({K} + CASE WHEN copy = 2 THEN 21600 ELSE 0 END),
+       '{ISO}') END
        AS ingestion_timestamp
 FROM orders
 JOIN customer ON o_custkey = c_custkey

@@ -7,6 +7,7 @@ surrogate keys are decided once, and a lost executor costs a few tasks rather th
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ from hirelens import schemas
 from hirelens.plans import gold, silver
 from hirelens.sources import lake
 
+BUCKETED = ("fact_job_postings", "bridge_job_skills")
 STAGES = ("all", "bronze-to-silver", "silver-to-gold")
 
 
@@ -106,16 +108,25 @@ class Lakehouse:
         return self.spark.table(f"{database}.{name}")
 
 
-BUCKETED = ("fact_job_postings", "bridge_job_skills")
+# Tables of one wave do not depend on each other.
+WAVES = (
+    ("silver",),
+    tuple(name for name in schemas.GOLD if name not in BUCKETED),
+    BUCKETED,
+)
+JOBS_AT_ONCE = 4
 
 
 def run(lakehouse: Lakehouse, stage: str = "all") -> dict[str, DataFrame]:
-    """Build the tables of one stage and return them as read back."""
+    """Build the tables of one stage and return them as read back.
+
+    Several tables of a wave are submitted at a time, so the tail of one write does not leave the
+    executors idle.
+    """
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}, not {stage!r}")
-    names = []
-    if stage != "silver-to-gold":
-        names.append("silver")
-    if stage != "bronze-to-silver":
-        names.extend(schemas.GOLD)
-    return lakehouse.tables(names)
+    waves = {"all": WAVES, "bronze-to-silver": WAVES[:1], "silver-to-gold": WAVES[1:]}[stage]
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        for wave in waves:
+            list(pool.map(lakehouse.table, wave))
+    return lakehouse.tables(name for wave in waves for name in wave)

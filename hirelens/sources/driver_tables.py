@@ -31,6 +31,7 @@ TITLES = (
 PERIODS = ("year", "HOUR", "month", "week", "day")
 PRICE_FACTORS = ("1.0000", "0.0005", "0.0800", "0.0200", "0.0040")
 CURRENCIES = ("usd", " EUR ", None, "GBP")
+FIRST_INGESTION = 1_009_843_200  # 2002-01-01 in epoch seconds
 SYSTEMS = ("greenhouse", "lever", " workday ")
 
 
@@ -107,7 +108,8 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.abs("c_acctbal").cast("decimal(18,2)")
     low = F.round(price * factor, 2).cast("double")
     high = F.round((price + balance).cast("decimal(18,2)") * factor, 2).cast("double")
-    hours = F.make_interval(hours=later * 6)
+    # Ingested one posting per second, in key order; a later post comes six hours after.
+    ingested = F.timestamp_seconds(FIRST_INGESTION + k + later * 6 * 3600)
     order_time = F.col("o_orderdate").cast("timestamp")
 
     columns = {
@@ -144,7 +146,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "scraped_at": _iso(order_time + F.make_interval(days=F.lit(1))),
         "url": F.concat(F.lit("https://jobs.example.com/"), k.cast("string")),
         "ingestion_timestamp": _unless(
-            _every(k, 103), _iso(order_time + F.make_interval(days=F.lit(2)) + hours)
+            _every(k, 103), _iso(ingested)
         ),
     }
     typed = schemas.EVENT

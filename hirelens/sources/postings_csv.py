@@ -29,7 +29,7 @@ def flag(column: str) -> Column:
 
 
 def skill_list(column: str) -> Column:
-    parts = F.transform(F.split(column, SKILL_SEPARATOR), F.trim)
+    parts = F.transform(F.split(column, SKILL_SEPARATOR), lambda part: F.trim(part))
     return F.coalesce(F.filter(parts, lambda part: part != ""), F.array().cast("array<string>"))
 
 
