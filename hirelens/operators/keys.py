@@ -19,14 +19,12 @@ def ranked(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-def dense_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """``row_number() over (order by ...)`` for a table of any size.
+def staged_in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows as written in range partitions, with their partition and position in it.
 
-    The rows are range-partitioned by the whole order, so a value that holds a third of the table
-    is split by the columns after it, and sorted within their partitions. That staged result is
-    written down: range bounds come from a sample, and numbers taken from a second evaluation would
-    not have to agree with the first. The row count of each partition, one row per task, then gives
-    the offset to add to the position inside the partition. ``order`` must be unique per row.
+    Rows are partitioned by the whole order, so a value that holds a third of the table is split by
+    the columns after it, and sorted within their partitions. They are written down because range
+    bounds come from a sample: a second evaluation need not repeat the first.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, "keys")
@@ -38,16 +36,25 @@ def dense_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     )
     layout = T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])
     staged = spark.read.schema(layout).parquet(path)
-    staged = staged.withColumn("_part", F.shiftright("_at", _ROW_BITS))
+    position = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
+    return staged.withColumn("_part", F.shiftright("_at", _ROW_BITS)).withColumn("_at", position)
+
+
+def dense_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """``row_number() over (order by ...)`` for a table of any size.
+
+    The row counts of the partitions, one row per task, give the offset to add to the position
+    inside a partition. ``order`` must be unique per row.
+    """
+    staged = staged_in_order(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy("_part")
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
-    position = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
     return (
         staged.join(F.broadcast(offsets), "_part")
-        .withColumn(key, F.col("_before") + position + 1)
+        .withColumn(key, F.col("_before") + F.col("_at") + 1)
         .drop("_part", "_at", "_before")
     )

@@ -22,6 +22,9 @@ def local_session(app: str = "hirelens", cores: int | str = "*") -> SparkSession
     )
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see.
 
@@ -33,9 +36,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="hirelens-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="hirelens-")
+    return _local_roots[app]
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
