@@ -407,7 +407,7 @@ def _(c: Context) -> DataFrame:
 
 @job("annualize_salary", f"SELECT job_id, {O.annual()} AS annual_salary_usd FROM postings")
 def _(c: Context) -> DataFrame:
-    pay = salary.annualized("salary_min", "salary_max", "salary_period")
+    pay = salary.annualized("salary_min", "salary_max", F.lower("salary_period"))
     return c.raw().select("job_id", pay.alias("annual_salary_usd"))
 
 
@@ -415,7 +415,7 @@ def _(c: Context) -> DataFrame:
      f"SELECT job_id, {O.in_band('pay')} AS annual_salary_usd FROM "
      f"(SELECT job_id, {O.annual()} AS pay FROM postings)")
 def _(c: Context) -> DataFrame:
-    pay = salary.annualized("salary_min", "salary_max", "salary_period").alias("pay")
+    pay = salary.annualized("salary_min", "salary_max", F.lower("salary_period")).alias("pay")
     paid = c.raw().select("job_id", pay)
     return paid.select("job_id", salary.within_band(F.col("pay")).alias("annual_salary_usd"))
 
@@ -785,6 +785,26 @@ def _(c: Context) -> DataFrame:
     return c.bronze_table("global", salts=8).select(*BRONZE_COLUMNS)
 
 
+@job("stream_rate_limit", "SELECT DISTINCT event_id FROM events")
+def _(c: Context) -> DataFrame:
+    """The events landed as several files and read one file per batch."""
+    landed = fresh_folder(c.spark, "paced")
+    rows = c.source("events").select("event_id").repartition(4, "event_id")
+    rows.write.parquet(landed)
+    paced = c.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    return c.streamed("paced-out", paced)
+
+
+@job("stream_checkpoint", BRONZE_SQL)
+def _(c: Context) -> DataFrame:
+    """A second run on the same checkpoint finds nothing new and adds nothing."""
+    path, checkpoint = fresh_folder(c.spark, "bronze"), fresh_folder(c.spark, "checkpoint")
+    for _ in range(2):
+        stream = bronze.process(events.from_files(c.spark, c.landed_messages()))
+        bronze.start(stream, path, checkpoint, trigger=None, name="restarted").awaitTermination()
+    return lake.read_bronze(c.spark, path).select(*BRONZE_COLUMNS)
+
+
 add("stream_bronze_job", lambda c: c.bronze_table().select(*BRONZE_COLUMNS), BRONZE_SQL)
 add("stream_metrics", lambda c: c.metrics())
 

@@ -24,13 +24,13 @@ def _factor(period: Column, names: tuple[str, ...]) -> Column:
     return chain.cast("decimal(4,0)")
 
 
-def annualized(low: str, high: str, period: str) -> Column:
+def annualized(low: str, high: str, unit: Column) -> Column:
     """Mid-point of the range, or its only bound, times the periods per year.
 
-    With one bound missing only hourly and monthly pay is scaled. A value too large for the
-    decimal type becomes null, which is what the outlier rule makes of it anyway.
+    ``unit`` is the lower-cased period. With one bound missing only hourly and monthly pay is
+    scaled. A value too large for the decimal type becomes null, which is what the outlier rule
+    makes of it anyway.
     """
-    unit = F.lower(F.col(period))
     lo, hi = F.col(low), F.col(high)
     lo_money, hi_money = lo.try_cast(MONEY), hi.try_cast(MONEY)
     middle = (lo_money + hi_money) * F.lit(0.5).cast("decimal(2,1)")

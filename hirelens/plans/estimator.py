@@ -93,15 +93,14 @@ def seniority_curve(profiles: DataFrame, key: str) -> DataFrame:
     """Each profile at the four levels, rounded to whole dollars."""
     p = _profile(profiles)
     bonus = (p["skills"] * PER_SKILL).cast("decimal(12,0)")
-    points = F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("experience_level"),
-                F.round(
-                    _pay_without_level(p) * _factor(factor, "decimal(3,2)") + bonus, 0
-                ).cast("double").alias("estimated_salary"),
-            )
-            for level, factor in LEVEL_FACTOR.items()
-        ]
-    )
-    return profiles.select(key, F.inline(points))
+    parts = profiles.select(key, _pay_without_level(p).alias("_base"), bonus.alias("_bonus"))
+
+    def point(level: str, factor: str) -> Column:
+        pay = F.col("_base") * _factor(factor, "decimal(3,2)") + F.col("_bonus")
+        return F.struct(
+            F.lit(level).alias("experience_level"),
+            F.round(pay, 0).cast("double").alias("estimated_salary"),
+        )
+
+    points = F.array(*[point(level, factor) for level, factor in LEVEL_FACTOR.items()])
+    return parts.select(key, F.inline(points))

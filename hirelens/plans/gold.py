@@ -97,7 +97,6 @@ def fact_rows(
     )
     day = dates.date_key(F.col("posted_date"))
     return keyed.select(
-        "posted_date",
         *"job_id company_key role_key location_key".split(),
         F.coalesce(day, F.lit(dates.NO_DATE_KEY)).alias("date_key"),
         *"title annual_salary_usd salary_min salary_max salary_currency".split(),
@@ -105,11 +104,20 @@ def fact_rows(
     )
 
 
-def number_facts(rows: DataFrame) -> DataFrame:
-    """Dense fact key by date and id. A busy date, or the missing one, is split by id."""
+def fact_keys(silver: DataFrame) -> DataFrame:
+    """Dense fact key per posting, by date and id. A busy date, or none at all, is split by id.
+
+    Only these two columns go through the range sort; the wide rows meet their key afterwards, in
+    the hash partitions in which they are written.
+    """
     order = [F.col("posted_date").asc_nulls_first(), F.col("job_id")]
-    keyed = dense_key(rows, "fact_key", order).drop("posted_date")
-    return keyed.select("fact_key", *[name for name in keyed.columns if name != "fact_key"])
+    return dense_key(silver.select("posted_date", "job_id"), "fact_key", order).drop("posted_date")
+
+
+def fact(rows: DataFrame, keys: DataFrame, partitions: int) -> DataFrame:
+    """Rows and keys, both hash-partitioned by id into the partitions of the stored table."""
+    left, right = rows.repartition(partitions, "job_id"), keys.repartition(partitions, "job_id")
+    return left.join(right, "job_id").select("fact_key", *rows.columns)
 
 
 def bridge(silver: DataFrame, skills: DataFrame) -> DataFrame:

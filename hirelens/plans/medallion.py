@@ -68,9 +68,10 @@ class Lakehouse:
                 self._stored("dim_job_role"),
                 self._stored("dim_location"),
             )
-            return gold.number_facts(rows)
+            return gold.fact(rows, gold.fact_keys(base), self._buckets)
         if name == "bridge_job_skills":
-            return gold.bridge(base, self._stored("dim_skill"))
+            pairs = gold.bridge(base, self._stored("dim_skill"))
+            return pairs.repartition(self._buckets, "job_id")
         single = {
             "dim_company": gold.dim_company,
             "dim_job_role": gold.dim_job_role,
@@ -92,14 +93,17 @@ class Lakehouse:
         return lake.overwrite(df, self.path(name))
 
     def _write_bucketed(self, name: str, df: DataFrame) -> DataFrame:
-        """Fact and bridge share a bucketing by job id, so joining them shuffles neither."""
+        """Fact and bridge share a bucketing by job id, so joining them shuffles neither.
+
+        They arrive hash-partitioned by that id into as many partitions as there are buckets, which
+        makes one file per bucket.
+        """
         database = "hirelens_" + "".join(c if c.isalnum() else "_" for c in self.root)
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_database'"
         )
         (
-            df.repartition(self._buckets, "job_id")
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("path", self.path(name))
             .bucketBy(self._buckets, "job_id")
             .sortBy("job_id")

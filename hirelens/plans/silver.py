@@ -50,7 +50,12 @@ def deduplicated(rows: DataFrame) -> DataFrame:
 
 
 def cleaned(rows: DataFrame) -> DataFrame:
-    """The Silver columns that come straight from one field each, and the raw ones still needed."""
+    """The Silver columns that come straight from one field each, and two helpers.
+
+    The helpers, lower-cased title and pay period, are never null. Tests on a column that may be
+    null generate about twice the code, and a generated method of more than 8000 bytes is not
+    compiled by the JVM but interpreted, at a fraction of the speed.
+    """
     remote = F.col("is_remote").try_cast("boolean")
     posted_raw = F.coalesce("posted_at", "ingestion_timestamp").cast("string")
     return rows.select(
@@ -62,7 +67,7 @@ def cleaned(rows: DataFrame) -> DataFrame:
         ),
         text.trimmed("ats").alias("ats"),
         text.trimmed("title").alias("title"),
-        F.lower("title").alias("_lower_title"),
+        F.coalesce(F.lower("title"), F.lit("")).alias("_lower_title"),
         text.trimmed("department").alias("department"),
         location.city_or_remote(remote, "location_raw", "city", "country").alias(
             "city_normalized"
@@ -80,7 +85,7 @@ def cleaned(rows: DataFrame) -> DataFrame:
         _or_default(F.lower(text.trimmed("salary_period")), "salary_period").alias(
             "salary_period"
         ),
-        F.col("salary_period").alias("_raw_period"),
+        F.coalesce(F.lower("salary_period"), F.lit("")).alias("_unit"),
         "skills",
         text.size_or_zero("skills").alias("skills_count"),
         dates.parsed_date(posted_raw).alias("posted_date"),
@@ -92,7 +97,7 @@ def cleaned(rows: DataFrame) -> DataFrame:
 def derived(rows: DataFrame, using: Rules) -> DataFrame:
     """Add role, level and annual pay, and put the columns in their final order."""
     lower_title = F.col("_lower_title")
-    pay = salary.annualized("salary_min", "salary_max", "_raw_period")
+    pay = salary.annualized("salary_min", "salary_max", F.col("_unit"))
     return (
         rows.withColumns(
             {
