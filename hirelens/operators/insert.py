@@ -4,14 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelens.operators.dedup import keep_one
 
 
-def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per source key that the target does not hold yet."""
-    fresh = source.join(target.select(*keys), list(keys), "left_anti")
+# A source of at most this many rows sends its keys to the target instead of meeting it in a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def new_rows(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """One row per source key that the target does not hold yet.
+
+    For the usual small increment the target is only scanned for the source's keys, a counted set
+    that fits a broadcast. A large source is joined to the target's keys by a shuffle.
+    """
+    present = target.select(*keys)
+    if source.count() <= broadcast_rows:
+        present = present.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+    fresh = source.join(present, list(keys), "left_anti")
     return keep_one(fresh.select(*source.columns), keys)
 
 
@@ -31,7 +48,8 @@ def insert_only_jdbc(
     rows.write.option("batchsize", 10_000).jdbc(url, table, mode="append", properties=properties)
 
 
-def existing(spark, path: str, like: DataFrame) -> DataFrame:
+def existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table at ``path``, or an empty one with the columns of ``like``."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if files.exists(hadoop_path):

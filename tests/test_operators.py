@@ -107,6 +107,15 @@ def test_insert_only_keeps_present_rows(spark, folder):
     assert bag(stored) == [("1", "old"), ("2", "x"), ("3", "z")]
 
 
+def test_large_and_small_sources_insert_alike(spark):
+    source = spark.range(500).select((F.col("id") % 300).alias("id"), F.col("id").alias("v"))
+    target = spark.range(100).withColumn("v", F.lit(-1))
+    small = insert.new_rows(source, target, ["id"])
+    large = insert.new_rows(source, target, ["id"], broadcast_rows=0)
+    assert bag(small) == bag(large)
+    assert small.count() == 200
+
+
 def test_split_does_not_depend_on_partitions(spark):
     df = spark.range(5000).select(F.concat(F.lit("J"), F.col("id")).alias("j"))
     first, rest = split.hash_split(df, "j")
