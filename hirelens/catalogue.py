@@ -1007,7 +1007,7 @@ add("ml_pipeline", lambda c: _features(c).select("job_id", "label"),
     "SELECT job_id, label FROM features WHERE label > 0")
 
 
-@job("ml_split", "SELECT job_id, substr(md5(job_id), 1, 4) < 'cccc' AS training FROM features "
+@job("ml_split", "SELECT job_id, substr(md5(job_id), 1, 4) < 'cccd' AS training FROM features "
      "WHERE label > 0")
 def _(c: Context) -> DataFrame:
     train_rows, test_rows = salary_model.split(_prepared(c).select("job_id", "label"))

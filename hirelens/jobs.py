@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirelens import schemas
 from hirelens.operators.insert import insert_only
-from hirelens.plans import mart, medallion, salary_model
+from hirelens.plans import mart, medallion, salary_model, warehouse
 from hirelens.sources import events, lake
 from hirelens.streaming import bronze
 
@@ -54,6 +54,11 @@ def etl(
     return medallion.run(medallion.Lakehouse(spark, root, raw=source), stage)
 
 
+def ask(spark: SparkSession, root: str, question: str) -> DataFrame:
+    """One of the twenty warehouse questions, over the Gold tables already below ``root``."""
+    return warehouse.QUERIES[question](medallion.Lakehouse(spark, root).reopen().table)
+
+
 def silver_or_build(
     spark: SparkSession, root: str, bronze_path: str, csv_path: str
 ) -> DataFrame:
@@ -109,11 +114,12 @@ def sync_mart(spark: SparkSession, silver: DataFrame, path: str) -> DataFrame:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["ingest", "etl", "train", "score", "mart"])
+    parser.add_argument("job", choices=["ingest", "etl", "ask", "train", "score", "mart"])
     parser.add_argument("--root", help="folder of Silver, Gold, mart, model and predictions")
     parser.add_argument("--bronze", help="Bronze folder")
     parser.add_argument("--csv", help="CSV folder used when Bronze is missing or empty")
     parser.add_argument("--stage", choices=medallion.STAGES, default="all")
+    parser.add_argument("--question", choices=list(warehouse.QUERIES))
     parser.add_argument("--first-day")
     parser.add_argument("--last-day")
     parser.add_argument("--servers")
@@ -136,6 +142,9 @@ def main() -> None:
         days = (args.first_day, args.last_day)
         etl(spark, args.root, args.bronze, args.csv, args.stage, days)
         return
+    if args.job == "ask":
+        ask(spark, args.root, args.question).show(100, truncate=False)
+        return
     silver = silver_or_build(spark, args.root, args.bronze, args.csv)
     model = f"{args.root}/model"
     if args.job == "train":

@@ -6,15 +6,18 @@ surrogate keys are decided once, and a lost executor costs a few tasks rather th
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelens import schemas
 from hirelens.plans import gold, silver
 from hirelens.sources import lake
 
+LAYOUT = "_layout"
 BUCKETED = ("fact_job_postings", "bridge_job_skills")
 STAGES = ("all", "bronze-to-silver", "silver-to-gold")
 
@@ -92,16 +95,43 @@ class Lakehouse:
             return self._write_bucketed(name, df)
         return lake.overwrite(df, self.path(name))
 
+    def _database(self) -> str:
+        database = "hirelens_" + hashlib.md5(self.root.encode()).hexdigest()
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_database'"
+        )
+        return database
+
+    def reopen(self) -> Lakehouse:
+        """Use the tables that an earlier run left below the root instead of building them.
+
+        The bucket count comes from the note that run left: declaring another one over the same
+        files would give wrong joins.
+        """
+        self._buckets = self.spark.read.json(self.path(LAYOUT)).first()["buckets"]
+        database = self._database()
+        self._open["silver"] = lake.read_silver(self.spark, self.path("silver"))
+        for name in schemas.GOLD:
+            if name not in BUCKETED:
+                self._open[name] = self.spark.read.parquet(self.path(name))
+                continue
+            fields = schemas.GOLD[name].fields
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
+                f"CLUSTERED BY (job_id) SORTED BY (job_id) INTO {self._buckets} BUCKETS "
+                f"LOCATION '{self.path(name)}'"
+            )
+            self._open[name] = self.spark.table(f"{database}.{name}")
+        return self
+
     def _write_bucketed(self, name: str, df: DataFrame) -> DataFrame:
         """Fact and bridge share a bucketing by job id, so joining them shuffles neither.
 
         They arrive hash-partitioned by that id into as many partitions as there are buckets, which
         makes one file per bucket.
         """
-        database = "hirelens_" + "".join(c if c.isalnum() else "_" for c in self.root)
-        self.spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_database'"
-        )
+        database = self._database()
         (
             df.write.mode("overwrite")
             .option("path", self.path(name))
@@ -109,6 +139,8 @@ class Lakehouse:
             .sortBy("job_id")
             .saveAsTable(f"{database}.{name}")
         )
+        note = self.spark.range(1).select(F.lit(self._buckets).alias("buckets"))
+        note.write.mode("overwrite").json(self.path(LAYOUT))
         return self.spark.table(f"{database}.{name}")
 
 

@@ -91,6 +91,23 @@ def test_tables_survive_a_second_build_unchanged(spark, small_lake):
         assert sorted(map(repr, table.collect())) == rows[name], name
 
 
+def test_reopened_tables_keep_their_buckets(spark, small_lake):
+    medallion.run(small_lake)
+    database = small_lake._database()
+    for name in medallion.BUCKETED:  # as in a new session, whose catalog is empty
+        spark.sql(f"DROP TABLE {database}.{name}")
+    later = medallion.Lakehouse(spark, small_lake.root, buckets=3).reopen()
+    assert later._buckets == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = warehouse._skill_facts(later.table, "title")
+        assert "Exchange" not in plan_of(joined)
+        assert joined.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert warehouse.q01_kpi(later.table).first().total_job_postings == 3
+
+
 def test_remote_postings_have_no_city_in_hubs(spark):
     hubs = catalogue.queries()["q06_hubs"](spark, SMALL)
     assert {row.remote_pct for row in hubs.collect()} == {0.0}

@@ -27,6 +27,8 @@ def test_bronze_to_dashboards(spark, landed, folder):
     assert built["fact_job_postings"].count() == postings
     assert built["fact_job_postings"].select("job_id").distinct().count() == postings
 
+    assert jobs.ask(spark, root, "q01_kpi").first().total_job_postings == postings
+
     silver = jobs.silver_or_build(spark, root, landed, "")
     mart_path = f"{root}/job_postings_analytics"
     assert jobs.sync_mart(spark, silver, mart_path).count() == postings
