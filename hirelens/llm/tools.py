@@ -111,16 +111,17 @@ def plain_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def bitmap(values: DataFrame, bits: int = 24) -> np.ndarray:
+def bitmap(values: DataFrame, bits: int = 24, hashed: bool = False) -> np.ndarray:
     """A bitmap of 2^bits bits with one bit set for each value of the only (long) column.
 
     Its size does not grow with the data. Spark combines the words with ``bit_or``; at most
     2^(bits-6) words reach the driver. Membership errs only towards yes, so whatever uses it as a
-    filter must be followed by an exact join.
+    filter must be followed by an exact join. Values that are ``hashed`` already are not hashed again.
     """
     (name,) = values.columns
-    slot = F.xxhash64(F.col(name)).bitwiseAND(F.lit((1 << bits) - 1))
-    bit = F.expr(f"shiftleft(1L, cast(xxhash64(`{name}`) & 63 as int))")
+    own = f"`{name}`" if hashed else f"xxhash64(`{name}`)"
+    slot = F.expr(own).bitwiseAND(F.lit((1 << bits) - 1))
+    bit = F.expr(f"shiftleft(1L, cast({own} & 63 as int))")
     rows = (
         values.filter(F.col(name).isNotNull())
         .groupBy(F.shiftright(slot, 6).alias("word"))
