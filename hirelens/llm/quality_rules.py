@@ -32,7 +32,9 @@ WORDS = sorted({w for words in COMMON.values() for w in words})
 CLASSES = ("lower", "upper", "digit", "stop", "symbol", "other")
 
 MIN_CHARS, MIN_COMMON, MIN_REFERENCE = 60, 40, 1000
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.60
+# The largest distances, and what a short document may add to them: this much over the root of its words.
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.15, 0.17
+CHAR_ALLOWANCE, WORD_ALLOWANCE = 1.2, 1.6
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -123,7 +125,8 @@ def judged(docs: DataFrame) -> DataFrame:
     rows = named.join(known, "ref_lang")
     rows = rows.withColumn("char_distance", F.expr(distance("classes", "ref_classes"))).withColumn("word_distance", F.expr(distance("words", "ref_words")))
     failed = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
-    far = ((F.col("word_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE)) | ((F.col("n_words") >= MIN_COMMON) & (F.col("word_distance") > MAX_WORD_DISTANCE))
+    far = F.expr(f"""(word_chars >= {MIN_CHARS} and char_distance > {MAX_CHAR_DISTANCE}D + {CHAR_ALLOWANCE}D / sqrt(n_words))
+        or (n_words >= {MIN_COMMON} and word_distance > {MAX_WORD_DISTANCE}D + {WORD_ALLOWANCE}D / sqrt(n_words))""")
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "char_distance", "word_distance"
     )
