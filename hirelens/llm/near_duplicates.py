@@ -11,9 +11,11 @@ hold therefore drop out of the lists unless they make up most of a document.
 
 Lists are worked off in rounds, and a pair is looked at only while its ends lie in different
 components: first the smallest member of each list against the others, then one member for each of
-up to eight components against the others, at last all members of different components. Large
-groups of copies are one component after the first rounds, so no round lists all their pairs, and
-no link between different components is left out.
+up to eight components against the others. Large groups of copies are one component by then. The
+members of lists that still hold several components are compared in a last round, by inverted lists
+of their full sets: a set is listed under its rarest shingles, one more than it may miss, and a pair
+counts only where enough shingles are left behind the shared one. What a document has for itself
+fills its first places, so strays of a large family meet few others, and no link is left out.
 
 Defined results: a null or wordless text has an empty set, no links, and is kept. Equal texts are
 always linked. Rows that repeat a doc_id stay rows of their own; a null doc_id is never smaller
@@ -99,24 +101,25 @@ def _postings(nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return nodes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, n long")
 
 
-def _pairs(postings: DataFrame, parts: DataFrame | None, leaders: int | None, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of nodes that share a list and lie in different components."""
+def _mixed(postings: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """The lists that hold more than one component, with the component as ``part``."""
     if parts is None:
         listed = postings.withColumn("part", F.col("node"))
     else:
         listed = postings.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     mixed = listed.groupBy("value").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("value")
-    listed = listed.join(mixed, "value")
+    return listed.join(mixed, "value")
+
+
+def _pairs(postings: DataFrame, parts: DataFrame | None, leaders: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b): in each list, the first members of up to ``leaders`` components and all others."""
+    listed = _mixed(postings, parts)
     close = F.expr(f"{den} * least(n, n_a) >= {num} * greatest(n, n_a)")
-    if leaders is None:
-        ahead = listed.select("value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-        found = listed.join(ahead, "value").filter(close & F.expr("part_a < part"))
-    else:
-        heads = listed.groupBy("value", "part").agg(F.min(F.struct("node", "n")).alias("head"))
-        place = F.row_number().over(Window.partitionBy("value").orderBy("head.node"))
-        heads = heads.withColumn("place", place).filter(F.col("place") <= leaders)
-        ahead = heads.select("value", F.col("head.node").alias("a"), F.col("head.n").alias("n_a"), F.col("part").alias("part_a"))
-        found = listed.join(ahead, "value").filter(close & F.expr("part_a <> part"))
+    heads = listed.groupBy("value", "part").agg(F.min(F.struct("node", "n")).alias("head"))
+    place = F.row_number().over(Window.partitionBy("value").orderBy("head.node"))
+    heads = heads.withColumn("place", place).filter(F.col("place") <= leaders)
+    ahead = heads.select("value", F.col("head.node").alias("a"), F.col("head.n").alias("n_a"), F.col("part").alias("part_a"))
+    found = listed.join(ahead, "value").filter(close & F.expr("part_a <> part"))
     return found.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
@@ -165,6 +168,36 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int
     return pairs.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
+def _rest(docs: DataFrame, nodes: DataFrame, postings: DataFrame, parts: DataFrame | None, size: int, num: int, den: int) -> DataFrame:
+    """The links between members of different components that share a list."""
+    left = _mixed(postings, parts).select("node", "part").distinct()
+    left = tools.staged(left.join(nodes.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")), "node"), "left")
+    texts = tools.staged(_texts(docs, left.select("doc_id"), size).join(left.drop("doc_id"), "node"), "left-texts")
+    counters = tools.summed(
+        texts.select("text"), lambda batch: sum((np.bincount(s & np.uint64(COUNTERS - 1), minlength=COUNTERS) for _, s in shingle_sets(batch["text"].to_pylist(), size)), np.zeros(COUNTERS)), COUNTERS
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
+
+    def run(batches):
+        for batch in batches:
+            for i, s in shingle_sets(batch["text"].to_pylist(), size):
+                n = len(s)
+                rare = s[np.lexsort((s, shared.value[s & np.uint64(COUNTERS - 1)]))][: n - -(-num * n // den) + 1]
+                columns = [pa.array(tools.plain_long(rare)), *(pa.array(np.full(len(rare), x)) for x in (batch["node"][i].as_py(), batch["part"][i].as_py(), n)), pa.array(np.arange(len(rare)))]
+                yield pa.RecordBatch.from_arrays(columns, ["value", "node", "part", "n", "at"])
+
+    listed = texts.select("node", "part", "text").mapInArrow(run, "value long, node long, part long, n long, at long")
+    sizes = listed.groupBy("value", "part").count().groupBy("value").agg(F.max_by("part", F.struct("count", "part")).alias("major"), F.count("*").alias("parts"))
+    listed = tools.staged(listed.join(sizes.filter("parts > 1").drop("parts"), "value"), "lists")
+    # members of a list's largest component are not compared with each other
+    minor = listed.filter("part <> major").select("value", F.col("node").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))
+    pairs = minor.join(listed, "value").filter(
+        F.expr(f"part <> part_a and (part = major or part_a < part) and {den} * least(n, n_a) >= {num} * greatest(n, n_a) and {num + den} * least(n - at, n_a - at_a) >= {num} * (n + n_a)")
+    )
+    pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    return _confirmed(pairs, texts.select("node", "text"), size, num, den)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, k: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_key (xxhash64 of the text) for every row of docs."""
     spark = docs.sparkSession
@@ -175,7 +208,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     shared = postings.groupBy("value").count().filter("count > 1").select("value")
     postings = tools.staged(postings.join(shared, "value"), "postings")
     links, parts = None, None
-    for leaders in (1, 8, None):
+    for leaders in (1, 8):
         pairs = tools.staged(_estimated(_pairs(postings, parts, leaders, num, den), nodes, k, num, den), "pairs")
         if pairs.isEmpty():
             continue
@@ -183,6 +216,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         found = tools.staged(_confirmed(pairs.select("a", "b"), _texts(docs, wanted, size), size, num, den), "links")
         links = found if links is None else links.union(found)
         parts = tools.components(links)
+    found = tools.staged(_rest(docs, nodes, postings, parts, size, num, den), "links")
+    if not found.isEmpty():
+        parts = tools.components(found if links is None else links.union(found))
     if parts is None:
         parts = spark.createDataFrame([], "node long, component long")
     labelled = nodes.select("node", "doc_id").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))

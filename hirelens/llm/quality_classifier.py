@@ -101,27 +101,8 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def _sums(rows: DataFrame, terms, size: int) -> np.ndarray:
-    """The sum over all rows of terms(stats, label), an array of ``size`` numbers.
-
-    Partitions are summed where they are, then in a few groups, so the driver adds a bounded number.
-    """
-
-    def partition(batches):
-        total = np.zeros(size)
-        for batch in batches:
-            if batch.num_rows:
-                total += terms(np.array(batch["stats"].to_pylist()), batch["label"].to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["total"])
-
-    def group(batches):
-        total = np.zeros(size)
-        for batch in batches:
-            for part in batch["total"].to_pylist():
-                total += np.frombuffer(part)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["total"])
-
-    parts = rows.select("stats", "label").mapInArrow(partition, "total binary")
-    return sum((np.frombuffer(r.total) for r in parts.coalesce(8).mapInArrow(group, "total binary").collect()), np.zeros(size))
+    """The sum over all rows of terms(stats, label), an array of ``size`` numbers."""
+    return tools.summed(rows.select("stats", "label"), lambda batch: terms(np.array(batch["stats"].to_pylist()), batch["label"].to_numpy()), size)
 
 
 def train(stats: DataFrame, labels: DataFrame, features: int = 256, ridge: float = 1e-3, width: float = 3.0, seed: int = 7) -> Model:

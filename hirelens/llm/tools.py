@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,6 +140,30 @@ def in_bitmap(words: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (words[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
 
+def summed(rows: DataFrame, terms, size: int) -> np.ndarray:
+    """The sum of terms(batch), an array of ``size`` numbers, over all Arrow batches of the rows.
+
+    Partitions are summed where they are, then in a few groups, so the driver adds a bounded number.
+    """
+
+    def partition(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += terms(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["total"])
+
+    def group(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            for part in batch["total"].to_pylist():
+                total += np.frombuffer(part)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["total"])
+
+    parts = rows.mapInArrow(partition, "total binary").repartition(8)
+    return sum((np.frombuffer(r.total) for r in parts.mapInArrow(group, "total binary").collect()), np.zeros(size))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
 
