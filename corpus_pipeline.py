@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hirelens.llm import near_duplicates, quality_classifier, tools
+from hirelens.llm import decontamination, entries, near_duplicates, pii, quality_classifier, sentencepiece_codec, tools
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +22,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_duplicates.keep_one(docs, 5, 80, 100)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item."""
+    return decontamination.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redacted(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their token ids, and whether decoding gives the text back."""
+    rows = sentencepiece_codec.encoded(docs, entries.MODEL_PATH)
+    return rows.withColumn("n_tokens", F.size("ids").cast("long"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", quality),
     ("minhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("pii", redact),
+    ("sentencepiece_codec", tokenize),
 ]
 
 #: No SQL can express the first stage, a trained model.
