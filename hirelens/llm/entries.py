@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import decontamination, html_extraction, near_duplicates, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, sharding, suffix_dedup, tools
+from hirelens.llm.oracle import ORACLE_SQL  # noqa: F401
 
 #: The model that the codec query encodes with; a parameter of the operator.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -64,4 +65,4 @@ _ALL = (
     op6_suffix_dedup, op7_pii, op8_sharding, op9_secret_scan, op10_quality_classifier,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLE_SQL: dict[str, str] = {}
+

@@ -25,8 +25,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 
 #: kind: (score without context, bonus, context words in lower case)
 SCORES = {
@@ -57,6 +57,11 @@ def mod97(code: str) -> str:
         (r * 100 + ascii(substring({moved}, i, 1)) - 55) % 97, (r * 10 + cast(substring({moved}, i, 1) as int)) % 97)) = 1"""
 
 
+def apart(characters: str) -> str:
+    """A SQL condition: none of these characters stands next to the span x."""
+    return f"not (substring(__text, x.start, least(x.start, 1)) rlike '{characters}') and not (substring(__text, x.end + 1, 1) rlike '{characters}')"
+
+
 def score(kind: str, text: str, span: str) -> str:
     """A SQL expression: the score of the span (a struct) of this kind."""
     alone, bonus, words = SCORES[kind]
@@ -81,8 +86,8 @@ def detected(docs: DataFrame) -> DataFrame:
         "ip": f"x.found rlike {quoted('^' + _OCTETS + '$')}",
         "card": f"length(regexp_replace(x.found, '[^0-9]', '')) between 13 and 19 and {luhn('regexp_replace(x.found, "[^0-9]", "")')}",
         "phone": "length(regexp_replace(x.found, '[^0-9]', '')) between 9 and 15",
-        "iban": f"length(replace(x.found, ' ', '')) between 15 and 34 and {mod97('replace(x.found, " ", "")')}",
-        "ssn": "not (x.found rlike '^(000|666|9)|-00-|0000$')",
+        "iban": f"{apart('[A-Za-z0-9]')} and length(replace(x.found, ' ', '')) between 15 and 34 and {mod97('replace(x.found, " ", "")')}",
+        "ssn": f"{apart('[0-9-]')} and not (x.found rlike '^(000|666|9)|-00-|0000$')",
     }
     docs = docs.withColumns({f"__{kind}": column for kind, column in found.items()})
     confirmed = {}

@@ -15,14 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.llm import tools
 from hirelens.llm.spans import listed, spans
 
 # The base patterns.
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-GITHUB = r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}"
-SLACK = r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}"
+GITHUB = r"gh[pousr]_[A-Za-z0-9]{36,}"
+SLACK = r"xox[abprs]-[A-Za-z0-9-]{10,}"
 KEY = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
 
 BASE = ("assign", "access", "hex")
@@ -42,7 +43,8 @@ def detected(docs: DataFrame) -> DataFrame:
         "private_key": spans("__text", KEY, "contains(__text, '-----BEGIN ')"),
     }
     docs = docs.withColumns({f"__{kind}": column for kind, column in found.items()})
-    return docs.withColumn("__assign", F.expr("filter(__assign, x -> length(x.value) >= 6)"))
+    apart = "filter(__{0}, x -> not (substring(__text, x.start, least(x.start, 1)) rlike '[A-Za-z0-9]'))".format
+    return docs.withColumns({"__assign": F.expr("filter(__assign, x -> length(x.value) >= 6)"), **{f"__{kind}": F.expr(apart(kind)) for kind in ("github", "slack")}})
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -58,8 +60,6 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id", s
     A value is an example if at least ``shared_by`` owners hold it. A repository is the ``repository``
     within its owner.
     """
-    from hirelens.llm import tools
-
     rows = detected(docs.select("doc_id", "text", F.col(owner).alias("__owner"), F.col(repository).alias("__repository")))
     values = F.concat(*(F.expr(f"transform(__{k}, x -> sha2(x.value, 256))") for k in KINDS))
     rows = rows.select(
