@@ -164,6 +164,8 @@ LABELLED = [
     (5, 0, 45, 0.1, 90, 0, 1, 0, 1, 1), (1, 0, 20, 0, 70, 0, 1, 0, 1, 1), (2, 0, 1, 0, 3, 0, 1, 0, 1, 1), (9, 0, 70, 0, 8, 0, 1, 0, 1, 1), (150, 0.02, 9, 0, 12, 0.2, 1, 0, 1, 1),
     (4, 0, 30, 0, 25, 0, 1, 0, 0, 1), (25, 0, 4, 0, 0, 0, 1, 0, 0, 1), (30, 0.3, 60, 0, 40, 0, 1, 0, 1, 1), (14, 0.4, 50, 0, 30, 0, 1, 0, 1, 1), (8, 0, 6, 1, 7, 1, 1, 0, 1, 1),
     (3, 1, 3, 1, 3, 1, 1, 0, 0, 0), (4, 1, 40, 0, 3, 1, 1, 0, 0, 0), (6, 0.9, 3, 1, 12, 0, 1, 0, 0, 0), (2, 1, 50, 0, 2, 1, 1, 0, 0, 0), (10, 0.95, 20, 0, 9, 1, 1, 0, 0, 0),
+    (8, 0, 0, 0, 6, 0, 1, 1, 0, 1), (3, 0, 10, 0, 4, 0, 1, 0, 0, 1), (12, 0, 3, 1, 12, 0, 1, 1, 0, 1), (2, 0, 2, 0, 1, 0, 1, 0, 0, 1), (10, 0, 30, 0, 0, 0, 1, 0, 0, 1), (7, 0, 5, 1, 3, 1, 1, 0, 0, 1),
+    (1, 0, 8, 0, 9, 0, 1, 0, 0, 1), (17, 0.2, 12, 0, 15, 0.1, 1, 0, 0, 1),
     # inside navigation, adverts, notices, comments and the like
     (1, 1, 0, 0, 1, 1, -1, 0, 0, 0), (2, 1, 1, 1, 2, 1, -1, 0, 0, 0), (12, 0, 2, 1, 8, 0, -1, 0, 1, 0), (9, 0, 1, 1, 60, 0, -1, 0, 1, 0), (40, 0, 50, 0, 30, 0, -1, 0, 1, 0),
     (70, 0.1, 80, 0, 10, 0.5, -1, 0, 1, 0), (5, 0, 90, 0, 0, 0, -1, 0, 0, 0), (3, 0, 30, 0, 45, 0, -1, 1, 0, 0), (120, 0, 70, 0, 0, 0, -1, 0, 1, 0), (18, 0.2, 60, 0, 2, 1, -1, 0, 1, 0),
@@ -172,7 +174,8 @@ LABELLED = [
     (3, 0, 0, 0, 2, 1, 0, 0, 0, 0), (7, 0.5, 90, 0, 0, 0, 0, 0, 0, 0), (4, 0, 4, 0, 3, 0, 0, 0, 0, 0), (12, 0.7, 40, 0, 9, 1, 0, 0, 0, 0), (25, 0.8, 10, 1, 12, 1, 0, 0, 0, 0),
     (60, 0, 6, 0, 45, 0, 0, 0, 1, 1), (35, 0.1, 60, 0, 50, 0, 0, 0, 1, 1), (90, 0.05, 3, 1, 20, 0, 0, 0, 1, 1), (18, 0, 70, 0, 55, 0, 0, 0, 1, 1), (22, 0, 9, 0, 2, 1, 0, 0, 1, 1),
     (8, 0, 60, 0, 70, 0, 0, 0, 1, 1), (5, 0, 45, 0, 38, 0, 0, 0, 1, 1), (7, 0, 2, 1, 60, 0, 0, 1, 0, 1), (4, 0, 50, 0, 75, 0, 0, 1, 0, 1), (16, 0.25, 40, 0, 35, 0, 0, 0, 1, 1),
-    (3, 0, 3, 1, 2, 1, 0, 1, 0, 0), (5, 0, 4, 0, 4, 1, 0, 1, 0, 0),
+    (3, 0, 3, 1, 2, 1, 0, 1, 0, 0), (5, 0, 4, 0, 4, 1, 0, 1, 0, 0), (40, 0, 45, 0, 1, 0, 0, 0, 1, 1), (30, 0, 60, 0, 3, 1, 0, 0, 1, 1), (19, 0.1, 33, 0, 2, 1, 0, 0, 1, 1),
+    (55, 0, 0, 0, 1, 1, 0, 0, 1, 1), (24, 0, 25, 0, 4, 0, 0, 0, 1, 1), (1, 0, 40, 0, 2, 1, 0, 0, 0, 0), (3, 0, 52, 0, 0, 0, 0, 0, 0, 0), (4, 1, 1, 0, 0, 0, 0, 0, 0, 0),
 ]
 
 
