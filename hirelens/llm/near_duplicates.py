@@ -5,13 +5,13 @@ with equal shingle sets become one node first. Inverted lists of retained values
 pairs, the sketch of the union estimates their similarity, and the full sets decide.
 
 Two sets at the threshold share, with all but negligible probability, ``needed`` of k retained
-values, so each needs to be listed only under its ``k - needed + 1`` rarest ones (rare by a table
-of counters of fixed size; any order that all documents share is right). Values that many documents
-hold therefore drop out of the lists unless they make up most of a document.
+values, so each needs to be listed only under its ``k - needed + 1`` rarest ones. Values that no
+other node retains are the rarest, so most documents are in no list, and values that many documents
+hold drop out unless they make up most of a document.
 
 Lists are worked off in rounds, and a pair is looked at only while its ends lie in different
-components: first the smallest member of each list against the others, then one member for each of
-up to eight components against the others. Large groups of copies are one component by then. The
+components: first the member of each list with the least of its own against the others, then such a
+member for each of up to four components against the others. Large groups of copies are one component by then. The
 members of lists that still hold several components are compared in a last round, by inverted lists
 of their full sets: a set is listed under its rarest shingles, one more than it may miss, and a pair
 counts only where enough shingles are left behind the shared one. What a document has for itself
@@ -78,27 +78,18 @@ def _sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
 
 
 def _postings(nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(value, node, n) for the rarest retained values of each node."""
-    slot = F.col("value").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
-    counted = nodes.select(F.explode("sketch").alias("value")).groupBy(slot.alias("slot")).count().toPandas()
-    counters = np.zeros(COUNTERS, np.int64)
-    counters[counted["slot"].to_numpy()] = counted["count"].to_numpy()
-    whole, least = num * k // den, needed(k, num, den)
+    """(value, node, n, own) for the rarest retained values of each node that others retain too.
 
-    def run(batches):
-        for batch in batches:
-            values, owner, sizes = [], [], []
-            for node, n, sketch in zip(batch["node"].to_pylist(), batch["n"].to_pylist(), batch["sketch"].to_pylist(), strict=True):
-                s = np.asarray(sketch, np.int64)
-                share = -(-num * n // den) if n <= whole else least
-                s = s[np.lexsort((s, counters[s & (COUNTERS - 1)]))][: max(1, len(s) - share + 1)]
-                values.append(s)
-                owner.append(np.full(len(s), node))
-                sizes.append(np.full(len(s), n))
-            if values:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (values, owner, sizes)], ["value", "node", "n"])
-
-    return nodes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, n long")
+    ``own`` counts the values that no other node retains. They are the rarest, so they come first
+    among the places a node is listed under; a node with too few shared values is not listed at all.
+    """
+    held = nodes.select("node", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
+    shared = held.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
+    whole, least = num * k // den, needed(k, num, den)
+    share = F.expr(f"if(n <= {whole}, cast(ceil({num} * n / {den}) as int), {least})")
+    each = held.join(shared, "value").groupBy("node", "n", "held").agg(F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("values"))
+    each = each.withColumns({"own": F.col("held") - F.size("values"), "share": share}).filter("size(values) >= share")
+    return each.select("node", "n", "own", F.explode(F.expr("slice(values, 1, held - share + 1 - own)")).alias("kept")).select("kept.value", "node", "n", "own")
 
 
 def _mixed(postings: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -115,8 +106,8 @@ def _pairs(postings: DataFrame, parts: DataFrame | None, leaders: int, num: int,
     """Pairs (a, b): in each list, the first members of up to ``leaders`` components and all others."""
     listed = _mixed(postings, parts)
     close = F.expr(f"{den} * least(n, n_a) >= {num} * greatest(n, n_a)")
-    heads = listed.groupBy("value", "part").agg(F.min(F.struct("node", "n")).alias("head"))
-    place = F.row_number().over(Window.partitionBy("value").orderBy("head.node"))
+    heads = listed.groupBy("value", "part").agg(F.min(F.struct("own", "node", "n")).alias("head"))
+    place = F.row_number().over(Window.partitionBy("value").orderBy("head.own", "head.node"))
     heads = heads.withColumn("place", place).filter(F.col("place") <= leaders)
     ahead = heads.select("value", F.col("head.node").alias("a"), F.col("head.n").alias("n_a"), F.col("part").alias("part_a"))
     found = listed.join(ahead, "value").filter(close & F.expr("part_a <> part"))
@@ -208,7 +199,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     shared = postings.groupBy("value").count().filter("count > 1").select("value")
     postings = tools.staged(postings.join(shared, "value"), "postings")
     links, parts = None, None
-    for leaders in (1, 8):
+    for leaders in (1, 4):
         pairs = tools.staged(_estimated(_pairs(postings, parts, leaders, num, den), nodes, k, num, den), "pairs")
         if pairs.isEmpty():
             continue
