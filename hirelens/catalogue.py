@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens import oracle as O
@@ -67,7 +67,12 @@ class Context:
     def landed_messages(self) -> str:
         def land() -> str:
             path = fresh_folder(self.spark, "messages")
-            self.messages().write.parquet(path)
+            rows = self.messages()
+            cuts = rows.agg(F.percentile_approx("timestamp", [0.25, 0.5, 0.75])).first()[0]
+            part = sum((F.col("timestamp") > cut).cast("int") for cut in cuts)
+            for number in range(len(cuts) + 1):
+                one = rows.filter(part == number).repartition(1).sortWithinPartitions("timestamp")
+                one.write.mode("append").parquet(path)
             return path
 
         return self.once("messages", land)
@@ -82,11 +87,16 @@ class Context:
         return self.once("csv", land)
 
     def bronze(self, mode: str = "global", salts: int = 1) -> str:
-        """Run the Bronze stream over the landed messages once; returns the table's path."""
+        """Run the Bronze stream over the landed messages, a file per batch, in order of time.
+
+        Every hundredth message or so has no stamp. Returns the table's path.
+        """
 
         def run() -> str:
             path = fresh_folder(self.spark, "bronze")
-            stream = events.from_files(self.spark, self.landed_messages())
+            stream = events.from_files(self.spark, self.landed_messages(), files_per_trigger=1)
+            series = fresh_folder(self.spark, "metrics")
+            recorder = metrics.record(self.spark, series, f"bronze_{mode}_{salts}")
             query = bronze.start(
                 bronze.process(stream, mode, salts),
                 path,
@@ -95,8 +105,8 @@ class Context:
                 name=f"bronze_{mode}_{salts}",
             )
             query.awaitTermination()
-            series = fresh_folder(self.spark, "metrics")
-            metrics.append(self.spark, query, series)
+            recorder.wait(query)
+            self.spark.streams.removeListener(recorder)
             self.kept[f"metrics {mode} {salts}"] = series
             return path
 
@@ -313,7 +323,10 @@ add("sink_preview_stream", lambda c: bronze.preview(c.bronze_table()).drop("titl
     "CAST(coalesce(len(skills), 0) AS INTEGER) AS skills_count FROM postings "
     "WHERE trim(job_id) <> '' AND trim(title) <> ''")
 add("sink_stream_metrics", lambda c: c.metrics().groupBy("metric_name").agg(
-    F.count("*").alias("reports")))
+    (F.count("*") >= 4).alias("one_per_batch")),
+    "SELECT unnest(['kafka_ingestion_rate', 'consumer_lag', 'total_bronze_rows', "
+    "'microbatch_duration_ms', 'failed_records', 'late_rows']) AS metric_name, "
+    "true AS one_per_batch")
 
 # --- projections, filters, predicates ---------------------------------------------------------
 
@@ -734,7 +747,8 @@ def _(c: Context) -> DataFrame:
     return topk.top(dated, 20, [F.col("posted_date").desc_nulls_last(), F.col("job_id")])
 
 
-add("sample_rows", lambda c: c.silver().select("job_id", "title").limit(5))
+add("sample_rows", lambda c: topk.top(c.silver().select("job_id", "title"), 5, [F.col("job_id")]),
+    "SELECT job_id, title FROM silver ORDER BY job_id LIMIT 5")
 
 # --- streaming --------------------------------------------------------------------------------
 
@@ -777,7 +791,8 @@ def _(c: Context) -> DataFrame:
 
 @job("stream_dedup_windowed", BRONZE_SQL)
 def _(c: Context) -> DataFrame:
-    return c.bronze_table("windowed").select(*BRONZE_COLUMNS)
+    """An id may pass again once it is forgotten; what has landed at all is the same."""
+    return c.bronze_table("windowed").select(*BRONZE_COLUMNS).distinct()
 
 
 @job("stream_dedup_salted", BRONZE_SQL)
@@ -785,14 +800,21 @@ def _(c: Context) -> DataFrame:
     return c.bronze_table("global", salts=8).select(*BRONZE_COLUMNS)
 
 
-@job("stream_rate_limit", "SELECT DISTINCT event_id FROM events")
+@job("stream_rate_limit", "SELECT event_id % 4 AS file, count(*) AS rows, 1 AS batches "
+     "FROM events GROUP BY ALL")
 def _(c: Context) -> DataFrame:
-    """The events landed as several files and read one file per batch."""
+    """The events landed as four files and read one file per batch: each batch is one file."""
     landed = fresh_folder(c.spark, "paced")
-    rows = c.source("events").select("event_id").repartition(4, "event_id")
-    rows.write.parquet(landed)
+    rows = c.source("events").select("event_id")
+    for number in range(4):
+        one = rows.filter(F.col("event_id") % 4 == number).repartition(1)
+        one.write.mode("append").parquet(landed)
     paced = c.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
-    return c.streamed("paced-out", paced)
+    # the clock of a batch is the same in all of its rows
+    timed = paced.withColumn("batch", F.current_timestamp())
+    return c.streamed("paced-out", timed).groupBy((F.col("event_id") % 4).alias("file")).agg(
+        F.count("*").alias("rows"), F.count_distinct("batch").cast("int").alias("batches")
+    )
 
 
 @job("stream_checkpoint", BRONZE_SQL)
@@ -800,13 +822,57 @@ def _(c: Context) -> DataFrame:
     """A second run on the same checkpoint finds nothing new and adds nothing."""
     path, checkpoint = fresh_folder(c.spark, "bronze"), fresh_folder(c.spark, "checkpoint")
     for _ in range(2):
-        stream = bronze.process(events.from_files(c.spark, c.landed_messages()))
+        stream = bronze.process(events.from_files(c.spark, c.landed_messages(), 1))
         bronze.start(stream, path, checkpoint, trigger=None, name="restarted").awaitTermination()
     return lake.read_bronze(c.spark, path).select(*BRONZE_COLUMNS)
 
 
 add("stream_bronze_job", lambda c: c.bronze_table().select(*BRONZE_COLUMNS), BRONZE_SQL)
-add("stream_metrics", lambda c: c.metrics())
+TOTALS = [dashboards.BRONZE_ROWS, dashboards.FAILED, metrics.LATE_ROWS]
+add("stream_metrics", lambda c: c.metrics().filter(F.col("metric_name").isin(TOTALS))
+    .groupBy("metric_name").agg(F.max("value").alias("total")),
+    "SELECT 'total_bronze_rows' AS metric_name, CAST(count(*) AS DOUBLE) AS total "
+    f"FROM ({BRONZE_SQL}) UNION ALL SELECT 'late_rows', 0 UNION ALL "
+    "SELECT 'failed_records', count(*) + (SELECT count(*) FROM orders WHERE o_orderkey % 500 = 0) "
+    "FROM postings WHERE coalesce(trim(job_id), '') = '' OR coalesce(trim(title), '') = ''")
+
+
+LATE_SQL = """
+WITH e AS (SELECT event_id, ts, ntile(2) OVER (ORDER BY ts, event_id) = 2 AS newer FROM events),
+m AS (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 10 MINUTE AS mark FROM e WHERE newer)
+SELECT event_id, newer OR ts > mark AS landed FROM e, m"""
+
+
+@job("stream_late_data", LATE_SQL)
+def _(c: Context) -> DataFrame:
+    """The newer half of the events, then the older half on the same checkpoint.
+
+    Older events that the watermark has passed are dropped; ``landed`` tells which.
+    """
+    source, out = fresh_folder(c.spark, "late"), fresh_folder(c.spark, "late-out")
+    checkpoint = fresh_folder(c.spark, "checkpoint")
+    events_table = c.source("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    halves = events_table.withColumn(
+        "half", F.ntile(2).over(Window.orderBy(F.col("ts"), F.col("event_id")))
+    )
+    for half in (2, 1):
+        rows = halves.filter(F.col("half") == half).drop("half")
+        rows.write.mode("append").parquet(source)
+        stream = c.spark.readStream.schema(rows.schema).parquet(source)
+        kept = bronze.deduplicate(stream, keys=("event_id",), event_time="ts")
+        query = (
+            kept.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    landed = c.spark.read.schema(rows.schema).parquet(out).select("event_id")
+    landed = landed.withColumn("landed", F.lit(True))
+    return events_table.join(landed, "event_id", "left").select(
+        "event_id", F.coalesce("landed", F.lit(False)).alias("landed")
+    )
 
 # --- Gold, warehouse, dashboards --------------------------------------------------------------
 

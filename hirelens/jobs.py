@@ -6,6 +6,8 @@ Each function takes a session and paths and returns what it wrote, read back.
 from __future__ import annotations
 
 import argparse
+import json
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,15 @@ from hirelens import schemas
 from hirelens.operators.insert import insert_only
 from hirelens.plans import mart, medallion, salary_model, warehouse
 from hirelens.sources import events, lake
-from hirelens.streaming import bronze
+from hirelens.streaming import bronze, metrics
+
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def in_utc(spark: SparkSession) -> None:
+    """Ingest days and posted times are days and times of UTC, whatever the session's zone is."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def ingest(
@@ -26,10 +36,24 @@ def ingest(
     checkpoint: str,
     dedup: str = "global",
     preview: bool = False,
+    salts: int = 1,
+    max_offsets: int = events.MAX_OFFSETS_PER_TRIGGER,
+    fail_on_data_loss: bool = False,
+    metrics_path: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start the Bronze stream from a topic, and on request a console preview of what lands."""
-    messages = events.from_kafka(spark, servers, topic)
-    queries = [bronze.start(bronze.process(messages, dedup), bronze_path, checkpoint)]
+    """Start the Bronze stream from a topic, and on request a console preview of what lands.
+
+    Seen ids are kept in RocksDB, on disk, and every progress report is recorded below
+    ``metrics_path`` (``<checkpoint>-metrics`` if not given).
+    """
+    in_utc(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    metrics.record(spark, metrics_path or f"{checkpoint}-metrics")
+    messages = events.from_kafka(
+        spark, servers, topic, max_offsets=max_offsets, fail_on_data_loss=fail_on_data_loss
+    )
+    processed = bronze.process(messages, dedup, salts)
+    queries = [bronze.start(processed, bronze_path, checkpoint)]
     if preview:
         queries.append(bronze.start_preview(spark, bronze_path, f"{checkpoint}-preview"))
     return queries
@@ -42,16 +66,25 @@ def etl(
     csv_path: str,
     stage: str = "all",
     days: tuple[str | None, str | None] = (None, None),
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Bronze (or CSV) to Silver to Gold below ``root``; ``days`` limits the ingest days read."""
+    """Bronze (or CSV) to Silver to Gold below ``root``.
+
+    With ``days``, the postings that arrived on those ingest days are built anew in Silver and all
+    others stay as they are; Gold then follows from the whole of Silver.
+    """
+    in_utc(spark)
 
     def raw() -> DataFrame:
-        if days == (None, None):
-            return lake.read_bronze_or_csv(spark, bronze_path, csv_path)
+        return lake.read_bronze_or_csv(spark, bronze_path, csv_path)
+
+    def arrived() -> DataFrame:
         return lake.read_bronze(spark, bronze_path, *days)
 
+    some = arrived if days != (None, None) else None
     source = None if stage == "silver-to-gold" else raw
-    return medallion.run(medallion.Lakehouse(spark, root, raw=source), stage)
+    lakehouse = medallion.Lakehouse(spark, root, raw=source, buckets=buckets, arrived=some)
+    return medallion.run(lakehouse, stage)
 
 
 def ask(spark: SparkSession, root: str, question: str) -> DataFrame:
@@ -59,6 +92,13 @@ def ask(spark: SparkSession, root: str, question: str) -> DataFrame:
     return warehouse.QUERIES[question](medallion.Lakehouse(spark, root).reopen().table)
 
 
+def printed(answer: DataFrame) -> Iterator[str]:
+    """A header and every row, tab-separated; one partition at a time is on the driver."""
+    yield "\t".join(answer.columns)
+    for row in answer.toLocalIterator():
+        yield "\t".join("" if value is None else str(value) for value in row)
+
+
 def silver_or_build(
     spark: SparkSession, root: str, bronze_path: str, csv_path: str
 ) -> DataFrame:
@@ -81,6 +121,7 @@ def train(
     depth: int = salary_model.DEPTH,
 ) -> DataFrame:
     """Fit on the training share, save model and test metrics; returns the metrics."""
+    in_utc(spark)
     training, test = salary_model.split(salary_model.prepare(silver))
     salary_model.save(salary_model.fit(training, trees, depth), model_path)
     scored = salary_model.load(model_path).transform(test)
@@ -114,7 +155,8 @@ def sync_mart(spark: SparkSession, silver: DataFrame, path: str) -> DataFrame:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["ingest", "etl", "ask", "train", "score", "mart"])
+    jobs = ["ingest", "etl", "ask", "train", "score", "request", "mart", "tables"]
+    parser.add_argument("job", choices=jobs)
     parser.add_argument("--root", help="folder of Silver, Gold, mart, model and predictions")
     parser.add_argument("--bronze", help="Bronze folder")
     parser.add_argument("--csv", help="CSV folder used when Bronze is missing or empty")
@@ -127,23 +169,40 @@ def main() -> None:
     parser.add_argument("--checkpoint")
     parser.add_argument("--dedup", choices=["global", "windowed"], default="global")
     parser.add_argument("--preview", action="store_true")
+    parser.add_argument("--salts", type=int, default=1, help="groups per id in global mode")
+    parser.add_argument("--max-offsets", type=int, default=events.MAX_OFFSETS_PER_TRIGGER)
+    parser.add_argument("--fail-on-data-loss", action="store_true")
+    parser.add_argument("--buckets", type=int, help="buckets of fact and bridge")
+    parser.add_argument("--request", help="a posting to score, as JSON, for the job request")
+    parser.add_argument("--database", default="hirelens", help="catalog name for the job tables")
     parser.add_argument("--trees", type=int, default=salary_model.TREES)
     parser.add_argument("--depth", type=int, default=salary_model.DEPTH)
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName(f"hirelens-{args.job}").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    in_utc(spark)
     if args.job == "ingest":
-        ingest(spark, args.servers, args.topic, args.bronze, args.checkpoint, args.dedup,
-               args.preview)
+        ingest(
+            spark, args.servers, args.topic, args.bronze, args.checkpoint, args.dedup,
+            args.preview, args.salts, args.max_offsets, args.fail_on_data_loss,
+        )
         bronze.supervise(spark)
         return
     if args.job == "etl":
         days = (args.first_day, args.last_day)
-        etl(spark, args.root, args.bronze, args.csv, args.stage, days)
+        etl(spark, args.root, args.bronze, args.csv, args.stage, days, args.buckets)
         return
     if args.job == "ask":
-        ask(spark, args.root, args.question).show(100, truncate=False)
+        for line in printed(ask(spark, args.root, args.question)):
+            print(line)
+        return
+    if args.job == "request":
+        asked = json.loads(args.request)
+        row = tuple(asked.get(name) for name in schemas.REQUEST.fieldNames())
+        score_requests(spark, [row], f"{args.root}/model", f"{args.root}/prediction_results")
+        return
+    if args.job == "tables":
+        lake.register_external(spark, args.database, args.root)
         return
     silver = silver_or_build(spark, args.root, args.bronze, args.csv)
     model = f"{args.root}/model"

@@ -10,15 +10,19 @@ import hashlib
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import schemas
 from hirelens.plans import gold, silver
+from hirelens.session import fresh_folder
 from hirelens.sources import lake
 
 LAYOUT = "_layout"
 BUCKETED = ("fact_job_postings", "bridge_job_skills")
+#: Postings in one bucket of fact and bridge, so that a bucket's file and task stay of one size.
+ROWS_PER_BUCKET = 1_000_000
 STAGES = ("all", "bronze-to-silver", "silver-to-gold")
 
 
@@ -32,13 +36,20 @@ class Lakehouse:
         raw: Callable[[], DataFrame] | None = None,
         using: silver.Rules = silver.Rules(),
         buckets: int | None = None,
+        arrived: Callable[[], DataFrame] | None = None,
     ):
+        """``raw`` yields everything ingested; with ``arrived``, only the postings of those rows are
+        built anew in a Silver table that exists. ``buckets`` overrides the count from the rows.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self._raw = raw
         self._using = using
-        self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._arrived = arrived
+        self._buckets = buckets
         self._open: dict[str, DataFrame] = {}
+        # a bucket of fact and bridge is one file, in the order it was sorted in when written
+        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -62,7 +73,9 @@ class Lakehouse:
         if name == "silver":
             if self._raw is None:
                 return lake.read_silver(self.spark, self.path("silver"))
-            return silver.build(self._raw(), self._using)
+            if self._arrived is None:
+                return silver.build(self._raw(), self._using)
+            return self._refreshed_silver()
         base = self._stored("silver")
         if name == "fact_job_postings":
             rows = gold.fact_rows(
@@ -71,10 +84,10 @@ class Lakehouse:
                 self._stored("dim_job_role"),
                 self._stored("dim_location"),
             )
-            return gold.fact(rows, gold.fact_keys(base), self._buckets)
+            return gold.fact(rows, gold.fact_keys(base), self._bucket_count())
         if name == "bridge_job_skills":
             pairs = gold.bridge(base, self._stored("dim_skill"))
-            return pairs.repartition(self._buckets, "job_id")
+            return pairs.repartition(self._bucket_count(), "job_id")
         single = {
             "dim_company": gold.dim_company,
             "dim_job_role": gold.dim_job_role,
@@ -88,6 +101,27 @@ class Lakehouse:
         }
         return single[name](base)
 
+    def _refreshed_silver(self) -> DataFrame:
+        """Written beside the old table first, which it is read from."""
+        try:
+            old = lake.read_silver(self.spark, self.path("silver"))
+        except AnalysisException:
+            old = self.spark.createDataFrame([], schemas.SILVER)
+        new = silver.refreshed(old, self._raw(), self._arrived(), self._using)
+        return lake.overwrite(new, fresh_folder(self.spark, "silver"))
+
+    def _bucket_count(self) -> int:
+        """At least the shuffle partitions, and more as the postings grow."""
+        if self._buckets is None:
+            least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self._buckets = max(least, -(-self._stored("silver").count() // ROWS_PER_BUCKET))
+        return self._buckets
+
+    def note_layout(self) -> None:
+        """Leave the bucket count for ``reopen``; once, after fact and bridge are settled."""
+        note = self.spark.range(1).select(F.lit(self._bucket_count()).alias("buckets"))
+        note.write.mode("overwrite").json(self.path(LAYOUT))
+
     def _write(self, name: str, df: DataFrame) -> DataFrame:
         if name == "silver" and self._raw is None:
             return df
@@ -135,12 +169,10 @@ class Lakehouse:
         (
             df.write.mode("overwrite")
             .option("path", self.path(name))
-            .bucketBy(self._buckets, "job_id")
+            .bucketBy(self._bucket_count(), "job_id")
             .sortBy("job_id")
             .saveAsTable(f"{database}.{name}")
         )
-        note = self.spark.range(1).select(F.lit(self._buckets).alias("buckets"))
-        note.write.mode("overwrite").json(self.path(LAYOUT))
         return self.spark.table(f"{database}.{name}")
 
 
@@ -162,7 +194,10 @@ def run(lakehouse: Lakehouse, stage: str = "all") -> dict[str, DataFrame]:
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}, not {stage!r}")
     waves = {"all": WAVES, "bronze-to-silver": WAVES[:1], "silver-to-gold": WAVES[1:]}[stage]
+    lakehouse.table("silver")  # all others start from it, so it is settled before they run at once
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         for wave in waves:
+            if wave is BUCKETED:
+                lakehouse.note_layout()
             list(pool.map(lakehouse.table, wave))
     return lakehouse.tables(name for wave in waves for name in wave)

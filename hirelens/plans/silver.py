@@ -124,3 +124,18 @@ def build(raw: DataFrame, using: Rules = Rules()) -> DataFrame:
     over surviving rows.
     """
     return derived(cleaned(deduplicated(identified(raw))), using)
+
+
+def refreshed(
+    silver: DataFrame, raw: DataFrame, arrived: DataFrame, using: Rules = Rules()
+) -> DataFrame:
+    """Silver after some raw rows arrived: their postings are built anew, all others stay.
+
+    ``raw`` is everything ingested so far. Of it only the rows of the arrived ids are compared, so
+    an older version that arrives late does not replace a newer one, and the result equals a build
+    from all rows.
+    """
+    ids = identified(arrived).select("job_id").distinct()
+    versions = identified(raw).join(ids, "job_id", "left_semi")
+    renewed = derived(cleaned(deduplicated(versions)), using)
+    return silver.join(ids, "job_id", "left_anti").unionByName(renewed)

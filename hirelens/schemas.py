@@ -119,3 +119,7 @@ MART = _struct(
 )
 
 METRIC = _struct("metric_name string, value double, recorded_at timestamp")
+REPORT = _struct(
+    "query_id string, run_id string, batch_id bigint, recorded_at timestamp, received bigint, "
+    "rejected bigint, landed bigint, late bigint, input_rate double, lag double, duration_ms double"
+)

@@ -15,9 +15,18 @@ DEFAULT_EMPLOYMENT = "full_time"
 SKILL_SEPARATOR = r"\|"
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All fields as text, without a pass over the files to infer types."""
-    return spark.read.schema(schemas.CSV).csv(path, header=True, multiLine=False, escape='"')
+#: How batch and stream read the files. Quoted fields may hold line breaks, so a file is read by one
+#: task; large exports are best landed as several files.
+OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All fields as text, without a pass over the files to infer types.
+
+    Files known to hold no line break inside quotes can be split among tasks with
+    ``multi_line=False``; a quoted line break is then read as the end of its row.
+    """
+    return spark.read.schema(schemas.CSV).options(**OPTIONS | {"multiLine": multi_line}).csv(path)
 
 
 def number(column: str) -> Column:

@@ -48,13 +48,26 @@ def test_bronze_to_dashboards(spark, landed, folder):
         assert spark.table(f"hirelens_jobs_test.{name}").count() > 0, name
 
 
-def test_ingest_days_limit_silver(spark, landed, folder):
-    days = ("2002-01-01", "2002-01-01")
-    built = jobs.etl(spark, folder("root"), landed, "", "bronze-to-silver", days)
-    everything = lake.read_bronze(spark, landed)
-    first_day = everything.filter("ingest_year = '2002' AND ingest_month = '01' "
-                                  "AND ingest_day = '01'")
-    assert 0 < built["silver"].count() <= first_day.count()
+def test_a_day_is_merged_into_silver(spark, landed, folder):
+    """A run for some days after a full run leaves what a full rebuild gives."""
+    root, days = folder("root"), ("2002-01-01", "2002-01-01")
+    full = jobs.etl(spark, root, landed, "", "bronze-to-silver")["silver"]
+    expected = sorted(map(str, full.collect()))
+    partly = full.filter("hash(job_id) % 3 <> 0").collect()
+    spark.createDataFrame(partly, schemas.SILVER).write.mode("overwrite").parquet(f"{root}/silver")
+    merged = jobs.etl(spark, root, landed, "", "bronze-to-silver", days)["silver"]
+    first_day = lake.read_bronze(spark, landed, *days).select("job_id").distinct()
+    assert len(partly) < merged.count() <= len(expected)
+    assert set(map(str, merged.collect())) <= set(expected)
+    ids = {row.job_id.strip() for row in first_day.collect()}
+    assert ids and ids <= {row.job_id for row in merged.select("job_id").collect()}
+    again = jobs.etl(spark, root, landed, "", "bronze-to-silver", ("2000-01-01", None))["silver"]
+    assert sorted(map(str, again.collect())) == expected
+
+
+def test_answers_are_printed_whole(spark):
+    lines = list(jobs.printed(spark.range(250).selectExpr("id", "NULL AS nothing")))
+    assert lines[0] == "id\tnothing" and len(lines) == 251 and lines[-1] == "249\t"
 
 
 def test_missing_silver_is_built(spark, landed, folder):

@@ -188,18 +188,75 @@ def test_preview_follows_the_bronze_table(spark, land, folder, capfd):
 
 
 def test_metrics(spark, land, folder):
+    """Every batch is recorded once, also when Spark itself remembers two reports only."""
     source, out, series = folder("in"), folder("out"), folder("metrics")
-    land(source, message("1"), message("1"), "not json")
-    land(source, message("2"), message(" "))
-    query = drain(spark, source, out, folder("checkpoint"), files=1)
-    metrics.append(spark, query, series, rows_before=10, failed_before=5)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    recorder = metrics.record(spark, series, "bronze_ingestion")
+    try:
+        land(source, message("1"), message("1"), "not json")
+        land(source, message("2"), message(" "))
+        for i in range(3, 8):
+            land(source, message(str(i)))
+        checkpoint = folder("checkpoint")
+        recorder.wait(drain(spark, source, out, checkpoint, files=1))
+        land(source, message("8"), "{")
+        recorder.wait(drain(spark, source, out, checkpoint, files=1))
+    finally:
+        spark.streams.removeListener(recorder)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     table = metrics.read(spark, series)
-    assert dashboards.d03_bronze_rows(table).first().value == 12.0
-    assert dashboards.d05_failed(table).first().value == 7.0
+    assert dashboards.d03_bronze_rows(table).first().value == 8.0
+    assert dashboards.d05_failed(table).first().value == 3.0
     assert dashboards.d02_lag(table).first().value == 0.0
     assert dashboards.d01_ingest_rate(table).first().value >= 0.0
     durations = [row.batch_duration_ms for row in dashboards.d04_batch_duration(table).collect()]
-    assert len(durations) >= 2 and all(value > 0 for value in durations[:2])
+    assert len(durations) >= 8 and all(value > 0 for value in durations[:7])
+
+
+def test_a_batch_that_runs_again_counts_once(spark):
+    when = dt.datetime(2024, 1, 1)
+    rows = [("q", "r1", 0, when, 5, 1, 4, 0, 1.0, 0.0, 9.0), ("q", "r2", 0, when, 5, 1, 4, 0, 1.0, 0.0, 7.0),
+            ("q", "r2", 1, when, 3, 0, 2, 1, 1.0, 0.0, 8.0), ("p", "r3", 0, when, 1, 0, 1, 0, 1.0, 0.0, 1.0)]
+    table = metrics.series(spark.createDataFrame(rows, schemas.REPORT))
+    found = {(r.metric_name, r.value) for r in table.collect()}
+    assert {("total_bronze_rows", 6.0), ("late_rows", 1.0), ("failed_records", 1.0)} <= found
+    assert table.count() == 18
+
+
+@pytest.mark.parametrize("mode", ["global", "windowed"])
+def test_a_message_without_stamp_makes_nothing_late(spark, land, folder, mode):
+    source, out = folder("in"), folder("out")
+    for i, clock in enumerate(["00:00:00", None, "00:30:00", "01:00:00"]):
+        stamp = {"ingestion_timestamp": at(clock) if clock else None}
+        land(source, message(f"a{i}", **stamp), message(f"b{i}", **stamp))
+    drain(spark, source, out, folder("checkpoint"), mode, files=1)
+    assert lake.read_bronze(spark, out).count() == 8
+
+
+def test_salts_without_effect_are_refused(spark, land, folder, batch):
+    source = folder("in")
+    land(source, message())
+    with pytest.raises(ValueError, match="salts"):
+        bronze.process(sources.from_files(spark, source), "windowed", salts=4)
+    with pytest.raises(ValueError, match="salts"):
+        bronze.process(batch(message()), salts=4)
+
+
+def test_supervise_stops_the_others_and_raises(spark, land, folder):
+    def begin(name, column):
+        stream = sources.from_files(spark, source).select(column)
+        options = {"path": folder(name), "checkpointLocation": folder("checkpoint")}
+        return stream.writeStream.format("parquet").options(**options).queryName(name).start()
+
+    spark.streams.resetTerminated()
+    source = folder("in")
+    land(source, message())
+    well = begin("well", F.col("value").cast("string"))
+    begin("ill", F.raise_error(F.lit("broken")).cast("string").alias("value"))
+    with pytest.raises(Exception, match="broken"):
+        bronze.supervise(spark)
+    assert not well.isActive
+    spark.streams.resetTerminated()
 
 
 def test_lag_is_what_the_source_reports():
