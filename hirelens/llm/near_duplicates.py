@@ -10,10 +10,9 @@ other node retains are the rarest, so most documents are in no list, and values
 hold drop out unless they make up most of a document.
 
 Lists are worked off in rounds, and a pair is looked at only while its ends lie in different
-components: first the member of each list with the least of its own against the others, then such a
-member for each of up to four components against the others. Large groups of copies are one component by then. The
-members of lists that still hold several components are compared in a last round, by inverted lists
-of their full sets: a set is listed under its rarest shingles, one more than it may miss, and a pair
+components. First each node meets one, then up to four of the nodes that lead its lists, those with
+the least of their own; large groups of copies are one component by then. The members of lists that
+still hold several components are compared in a last round, by inverted lists of their full sets: a set is listed under its rarest shingles, one more than it may miss, and a pair
 counts only where enough shingles are left behind the shared one. What a document has for itself
 fills its first places, so strays of a large family meet few others, and no link is left out.
 
@@ -103,14 +102,19 @@ def _mixed(postings: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _pairs(postings: DataFrame, parts: DataFrame | None, leaders: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b): in each list, the first members of up to ``leaders`` components and all others."""
+    """Pairs (a, b): each node with up to ``leaders`` of those that lead a list it stands in.
+
+    A list is led by the first members of up to ``leaders`` of its components.
+    """
     listed = _mixed(postings, parts)
     close = F.expr(f"{den} * least(n, n_a) >= {num} * greatest(n, n_a)")
     heads = listed.groupBy("value", "part").agg(F.min(F.struct("own", "node", "n")).alias("head"))
     place = F.row_number().over(Window.partitionBy("value").orderBy("head.own", "head.node"))
     heads = heads.withColumn("place", place).filter(F.col("place") <= leaders)
-    ahead = heads.select("value", F.col("head.node").alias("a"), F.col("head.n").alias("n_a"), F.col("part").alias("part_a"))
+    ahead = heads.select("value", F.col("head.node").alias("a"), F.col("head.own").alias("own_a"), F.col("head.n").alias("n_a"), F.col("part").alias("part_a"))
     found = listed.join(ahead, "value").filter(close & F.expr("part_a <> part"))
+    best = found.groupBy("node").agg(F.slice(F.sort_array(F.collect_set(F.struct("own_a", "a"))), 1, leaders).alias("best"))
+    found = best.select("node", F.explode("best.a").alias("a"))
     return found.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
