@@ -524,7 +524,7 @@ def _(c: Context) -> DataFrame:
     for name in ("dim_company", "dim_job_role", "dim_location"):
         c.table(name)
     stored = c.lakehouse._stored
-    rows = gold.fact_rows(
+    rows = gold.foreign_keys(
         c.silver(), stored("dim_company"), stored("dim_job_role"), stored("dim_location")
     )
     return rows.select(*[name.strip() for name in FACT_KEYS.split(",")])
@@ -1056,21 +1056,39 @@ def _features(c: Context) -> DataFrame:
     return salary_model.pipeline().fit(prepared).transform(prepared)
 
 
-@job("ml_onehot")
+PLACES = (
+    "(SELECT role_category, row_number() OVER (ORDER BY count(*) DESC, role_category) - 1 AS place, "
+    "count(*) OVER () AS n FROM features WHERE label > 0 GROUP BY 1)"
+)
+# Each column has a slot per value and one for values unseen in training; two numbers follow.
+WIDTH = " + ".join(f"count(DISTINCT {name}) + 1" for name in salary_model.CATEGORIES) + " + 2"
+VECTORS = (
+    f"SELECT job_id, label, CAST(width AS INTEGER) AS width, CAST({len(salary_model.CATEGORIES)} + "
+    "(is_remote_double <> 0)::INTEGER + (skills_count_double <> 0)::INTEGER AS INTEGER) AS non_zero, "
+    "is_remote_double + skills_count_double AS numbers "
+    f"FROM features, (SELECT {WIDTH} AS width FROM features WHERE label > 0) WHERE label > 0"
+)
+
+
+@job("ml_onehot", "SELECT job_id, list_transform(range(0, n + 1), lambda i: "
+     "CASE WHEN i = place THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS role_category_vec "
+     f"FROM features JOIN {PLACES} USING (role_category) WHERE label > 0")
 def _(c: Context) -> DataFrame:
     vector = vector_to_array("role_category_vec").alias("role_category_vec")
     return _features(c).select("job_id", vector)
 
 
-@job("ml_assemble")
-def _(c: Context) -> DataFrame:
+def _described(rows: DataFrame, *columns: str) -> DataFrame:
+    """Width, filled slots and the sum of the two numbers of each feature vector."""
     vector = vector_to_array("features")
     filled = F.size(F.filter(vector, lambda x: x != 0)).alias("non_zero")
-    return _features(c).select("job_id", F.size(vector).alias("width"), filled)
+    numbers = F.element_at(vector, -1) + F.element_at(vector, -2)
+    return rows.select(*columns, F.size(vector).alias("width"), filled, numbers.alias("numbers"))
 
 
-add("ml_pipeline", lambda c: _features(c).select("job_id", "label"),
-    "SELECT job_id, label FROM features WHERE label > 0")
+add("ml_assemble", lambda c: _described(_features(c), "job_id"),
+    f"SELECT job_id, width, non_zero, numbers FROM ({VECTORS})")
+add("ml_pipeline", lambda c: _described(_features(c), "job_id", "label"), VECTORS)
 
 
 @job("ml_split", "SELECT job_id, substr(md5(job_id), 1, 4) < 'cccd' AS training FROM features "

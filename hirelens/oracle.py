@@ -256,18 +256,15 @@ SELECT CAST(row_number() OVER (ORDER BY skill_name) AS BIGINT) AS skill_key, ski
 FROM (SELECT DISTINCT skill_name FROM mentions)"""
 
 FACT = """
-SELECT CAST(row_number() OVER (ORDER BY s.posted_date ASC NULLS FIRST, s.job_id) AS BIGINT)
-    AS fact_key,
-  s.job_id, company_key, role_key, location_key, coalesce(date_key, 19700101) AS date_key,
-  s.title, s.annual_salary_usd, s.salary_min, s.salary_max, s.salary_currency,
-  s.employment_type, s.is_remote, s.skills_count, s.url
-FROM silver s
-LEFT JOIN dim_company c ON c.company_name = s.company_name
-LEFT JOIN dim_job_role r
-  ON r.role_category = s.role_category AND r.experience_level = s.experience_level
-LEFT JOIN dim_location p ON p.city = s.city_normalized AND p.country = s.country_normalized
-  AND p.is_remote = s.is_remote
-LEFT JOIN dim_date d ON d.full_date = s.posted_date"""
+SELECT CAST(row_number() OVER (ORDER BY posted_date NULLS FIRST, job_id) AS BIGINT) AS fact_key,
+  CAST(coalesce(strftime(posted_date, '%Y%m%d'), '19700101') AS INTEGER) AS date_key,
+  job_id, company_key, role_key, location_key, title, annual_salary_usd, salary_min, salary_max,
+  salary_currency, employment_type, is_remote, skills_count, url
+FROM (SELECT *, city_normalized AS city, country_normalized AS country FROM silver)
+LEFT JOIN (SELECT location_key, city, country, is_remote FROM dim_location)
+  USING (city, country, is_remote)
+LEFT JOIN dim_job_role USING (experience_level, role_category)
+LEFT JOIN (SELECT company_key, company_name FROM dim_company) USING (company_name)"""
 
 BRIDGE = "SELECT job_id, skill_key FROM mentions JOIN dim_skill USING (skill_name)"
 

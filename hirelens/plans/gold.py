@@ -76,14 +76,27 @@ def dim_skill(silver: DataFrame) -> DataFrame:
 # --- fact and bridge --------------------------------------------------------------------------
 
 
-def fact_rows(
+#: What the fact takes from Silver as it is.
+FACT_COLUMNS = [
+    "title", "annual_salary_usd", "salary_min", "salary_max", "salary_currency",
+    "employment_type", "is_remote", "skills_count", "url",
+]
+NAMES = [
+    "role_category", "experience_level", "company_name", "city_normalized", "country_normalized",
+    "is_remote",
+]
+
+
+def foreign_keys(
     silver: DataFrame, companies: DataFrame, roles: DataFrame, locations: DataFrame
 ) -> DataFrame:
-    """Silver with its foreign keys. ``companies`` and ``locations`` carry the weight column.
+    """The keys of each posting. ``companies`` and ``locations`` carry the weight column.
 
-    The date key needs no join: the date dimension holds exactly the non-null dates of Silver.
+    Only names and the id go through the lookups, which may shuffle by name and salt. The date key
+    needs no join: the date dimension holds exactly the non-null dates of Silver.
     """
-    keyed = silver.join(F.broadcast(roles), ["role_category", "experience_level"], "left")
+    names = silver.select("job_id", "posted_date", *NAMES)
+    keyed = names.join(F.broadcast(roles), ["role_category", "experience_level"], "left")
     keyed = attach(
         keyed, companies.select("company_name", "company_key", WEIGHT),
         ["company_name"], WEIGHT, spread_by="job_id",
@@ -95,13 +108,8 @@ def fact_rows(
         keyed, places, ["city_normalized", "country_normalized", "is_remote"], WEIGHT,
         spread_by="job_id",
     )
-    day = dates.date_key(F.col("posted_date"))
-    return keyed.select(
-        *"job_id company_key role_key location_key".split(),
-        F.coalesce(day, F.lit(dates.NO_DATE_KEY)).alias("date_key"),
-        *"title annual_salary_usd salary_min salary_max salary_currency".split(),
-        *"employment_type is_remote skills_count url".split(),
-    )
+    day = F.coalesce(dates.date_key(F.col("posted_date")), F.lit(dates.NO_DATE_KEY))
+    return keyed.select("job_id", "company_key", "role_key", "location_key", day.alias("date_key"))
 
 
 def fact_keys(silver: DataFrame) -> DataFrame:
@@ -114,10 +122,14 @@ def fact_keys(silver: DataFrame) -> DataFrame:
     return dense_key(silver.select("posted_date", "job_id"), "fact_key", order).drop("posted_date")
 
 
-def fact(rows: DataFrame, keys: DataFrame, partitions: int) -> DataFrame:
-    """Rows and keys, both hash-partitioned by id into the partitions of the stored table."""
-    left, right = rows.repartition(partitions, "job_id"), keys.repartition(partitions, "job_id")
-    return left.join(right, "job_id").select("fact_key", *rows.columns)
+def fact(silver: DataFrame, foreign: DataFrame, own: DataFrame, partitions: int) -> DataFrame:
+    """The wide rows cross one shuffle, into the partitions of the stored table, and meet their
+    foreign keys and their own key there.
+    """
+    rows = silver.select("job_id", *FACT_COLUMNS).repartition(partitions, "job_id")
+    for keys in (foreign, own):
+        rows = rows.join(keys.repartition(partitions, "job_id"), "job_id")
+    return rows.select("fact_key", *foreign.columns, *FACT_COLUMNS)
 
 
 def bridge(silver: DataFrame, skills: DataFrame) -> DataFrame:

@@ -78,13 +78,13 @@ class Lakehouse:
             return self._refreshed_silver()
         base = self._stored("silver")
         if name == "fact_job_postings":
-            rows = gold.fact_rows(
+            foreign = gold.foreign_keys(
                 base,
                 self._stored("dim_company"),
                 self._stored("dim_job_role"),
                 self._stored("dim_location"),
             )
-            return gold.fact(rows, gold.fact_keys(base), self._bucket_count())
+            return gold.fact(base, foreign, gold.fact_keys(base), self._bucket_count())
         if name == "bridge_job_skills":
             pairs = gold.bridge(base, self._stored("dim_skill"))
             return pairs.repartition(self._bucket_count(), "job_id")

@@ -275,15 +275,18 @@ def q12_high_remote(t: Tables) -> DataFrame:
 
 
 def q13_top5_levels(t: Tables) -> DataFrame:
-    sizes = _fact(t).groupBy("company_key").agg(F.count("*").alias("n"))
+    """One pass over the fact: its counts by company and role give the totals and the levels."""
+    counts = _fact(t).groupBy("company_key", "role_key").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("company_key").agg(F.sum("n").alias("n"))
     leaders = top(sizes, 5, [F.col("n").desc(), F.col("company_key")]).select("company_key")
     levels = (
-        _with_role(_fact(t).join(F.broadcast(leaders), "company_key", "left_semi"), t)
+        _with_role(counts.join(F.broadcast(leaders), "company_key", "left_semi"), t)
         .groupBy("company_key", "experience_level")
-        .agg(F.count("*").alias("total_jobs"))
+        .agg(F.sum("n").alias("total_jobs"))
     )
-    named = t("dim_company").select("company_key", "company_name").join(levels, "company_key")
-    return named.drop("company_key").orderBy(
+    # five companies by a handful of levels
+    named = t("dim_company").select("company_key", "company_name")
+    return named.join(F.broadcast(levels), "company_key").drop("company_key").orderBy(
         "company_name", F.col("total_jobs").desc(), "experience_level"
     )
 
