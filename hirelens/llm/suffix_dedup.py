@@ -38,7 +38,7 @@ GRAM = 16
 #: Window starts handled at once; below 2^20 so that a place fits beside a hash.
 STRIDE = 1 << 19
 #: Slices of one anchor in one collection, and slices in a task's memory.
-PER_COLLECTION, IN_MEMORY = 2048, 16_384
+PER_COLLECTION, IN_MEMORY = 16_384, 16_384
 NO_ID = -(2**63)
 #: A place is the document's tie-break (23 bits of its text's hash) above the byte offset (40 bits).
 SHIFT = 40
