@@ -5,7 +5,7 @@ import pytest
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 ROOT = os.path.dirname(os.path.dirname(HERE))
-sys.path[:0] = [ROOT, os.path.dirname(HERE)]
+sys.path[:0] = [ROOT, os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(autouse=True, scope="session")
