@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -770,11 +771,22 @@ def _event_stream(c: Context) -> DataFrame:
     )
 
 
-@job("stream_watermark", "SELECT event_id, event_type, "
-     "CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+@job("stream_watermark", "WITH e AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS hour FROM events) "
+     "SELECT event_type, count(*) AS events, "
+     "sum(CAST(json_extract(props, '$.k') AS INTEGER))::BIGINT AS k FROM e "
+     "WHERE hour + INTERVAL 1 HOUR <= (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 10 MINUTE FROM e) "
+     "GROUP BY event_type")
 def _(c: Context) -> DataFrame:
-    marked = _event_stream(c).withWatermark("ts", bronze.LATENESS)
-    return c.streamed("watermark", marked.select("event_id", "event_type", "k"))
+    """Hourly sums in append mode: an hour comes out once the watermark has passed its end."""
+    hourly = (
+        _event_stream(c)
+        .withWatermark("ts", bronze.LATENESS)
+        .groupBy(F.window("ts", "1 hour"), "event_type")
+        .agg(F.count("*").alias("events"), F.sum("k").alias("k"))
+        .select("event_type", "events", "k")
+    )
+    closed = c.streamed("watermark", hourly).groupBy("event_type")
+    return closed.agg(F.sum("events").alias("events"), F.sum("k").alias("k"))
 
 
 @job("stream_dedup", "SELECT DISTINCT event_id FROM events")
@@ -901,23 +913,36 @@ for _name, _sql in AGGREGATES.items():
     add(_name, lambda c, name=_name: gold.in_report_order(name, c.table(name)), _sql)
 
 
-@job("job_medallion", "SELECT 'silver' AS name, count(*) AS rows FROM silver "
-     "UNION ALL SELECT 'fact_job_postings', count(*) FROM fact "
-     "UNION ALL SELECT 'bridge_job_skills', count(*) FROM bridge "
-     "UNION ALL SELECT 'dim_company', count(*) FROM dim_company "
-     "UNION ALL SELECT 'dim_location', count(*) FROM dim_location "
-     "UNION ALL SELECT 'dim_date', count(*) FROM dim_date")
+# Each table with its name in the oracle and a sum that depends on keys and contents of its rows.
+CONTENTS = {
+    "silver": ("silver", "sum(length(job_id) * (skills_count + 1))"),
+    "fact_job_postings": (
+        "fact", "sum(fact_key * (company_key + 3 * role_key + 5 * location_key) + date_key)"
+    ),
+    "bridge_job_skills": ("bridge", "sum(length(job_id) * skill_key)"),
+    "dim_company": ("dim_company", "sum(company_key * (length(company_name) + total_jobs_posted))"),
+    "dim_job_role": ("dim_job_role", "sum(role_key * length(role_category))"),
+    "dim_location": ("dim_location", "sum(location_key * length(city))"),
+    "dim_date": ("dim_date", "sum(date_key * length(day_name))"),
+    "dim_skill": ("dim_skill", "sum(skill_key * length(skill_name))"),
+}
+
+
+@job("job_medallion", " UNION ALL ".join(
+     f"SELECT '{name}' AS name, count(*) AS rows, CAST({total} AS BIGINT) AS contents FROM {source}"
+     for name, (source, total) in CONTENTS.items()))
 def _(c: Context) -> DataFrame:
     root = fresh_folder(c.spark, "medallion")
     built = medallion.run(medallion.Lakehouse(c.spark, root, raw=c.raw))
-    names = "silver fact_job_postings bridge_job_skills dim_company dim_location dim_date".split()
-    counts = [
-        built[name].agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name in names
+    parts = [
+        built[name].agg(
+            F.lit(name).alias("name"),
+            F.count("*").alias("rows"),
+            F.expr(total).cast("bigint").alias("contents"),
+        )
+        for name, (_, total) in CONTENTS.items()
     ]
-    total = counts[0]
-    for count in counts[1:]:
-        total = total.unionByName(count)
-    return total
+    return reduce(DataFrame.unionByName, parts)
 
 
 PAID = f"{PAY} IS NOT NULL"
