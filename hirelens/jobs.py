@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hirelens import schemas
 from hirelens.operators.insert import insert_only
 from hirelens.plans import mart, medallion, salary_model, warehouse
+from hirelens.plans.silver import identified
 from hirelens.sources import events, lake
 from hirelens.streaming import bronze, metrics
 
@@ -147,8 +148,13 @@ def score_requests(
     return spark.read.schema(schemas.PREDICTION).parquet(path)
 
 
-def sync_mart(spark: SparkSession, silver: DataFrame, path: str) -> DataFrame:
-    """Add the postings the mart does not hold yet."""
+def sync_mart(
+    spark: SparkSession, silver: DataFrame, path: str, arrived: DataFrame | None = None
+) -> DataFrame:
+    """Add the postings the mart does not hold yet; with ``arrived``, of those raw rows only."""
+    if arrived is not None:
+        ids = identified(arrived).select("job_id").distinct()
+        silver = silver.join(ids, "job_id", "left_semi")
     insert_only(mart.project(silver), path, ["job_id"])
     return spark.read.schema(schemas.MART).parquet(path)
 
@@ -211,7 +217,9 @@ def main() -> None:
     elif args.job == "score":
         score(spark, silver, model, f"{args.root}/prediction_results")
     else:
-        sync_mart(spark, silver, f"{args.root}/job_postings_analytics")
+        days = (args.first_day, args.last_day)
+        some = None if days == (None, None) else lake.read_bronze(spark, args.bronze, *days)
+        sync_mart(spark, silver, f"{args.root}/job_postings_analytics", some)
 
 
 if __name__ == "__main__":

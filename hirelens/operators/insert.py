@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,11 @@ def new_rows(
 
 
 def insert_only(source: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Append the new rows to the parquet table at ``path``, creating it if it is missing."""
+    """Append the new rows to the parquet table at ``path``, creating it if it is missing.
+
+    Pass an increment, not the whole source: a small one is looked up by a scan for its keys. Two
+    runs at a time could both find a key missing, so a table has one writer.
+    """
     spark = source.sparkSession
     target = existing(spark, path, source)
     new_rows(source, target, keys).write.mode("append").parquet(path)
@@ -50,8 +55,7 @@ def insert_only_jdbc(
 
 def existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``, or an empty one with the columns of ``like``."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(hadoop_path):
+    try:
         return spark.read.schema(like.schema).parquet(path)
-    return spark.createDataFrame([], like.schema)
+    except AnalysisException:
+        return spark.createDataFrame([], like.schema)

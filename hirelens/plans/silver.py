@@ -20,11 +20,13 @@ DEFAULTS = {
     "salary_period": "year",
 }
 
-USED_FIELDS = (
-    "job_id company_name company_domain company_industry ats title department location_raw "
-    "country city is_remote employment_type salary_min salary_max salary_currency salary_period "
-    "skills posted_at url ingestion_timestamp"
-).split()
+# The fields of a posting.
+USED_FIELDS = [
+    "job_id", "company_name", "company_domain", "company_industry", "ats", "title",
+    "department", "location_raw", "country", "city", "is_remote", "employment_type",
+    "salary_min", "salary_max", "salary_currency", "salary_period", "skills", "posted_at",
+    "url", "ingestion_timestamp",
+]
 
 
 @dataclass(frozen=True)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-RAW_FIELDS = (
-    "job_id company_name company_domain company_industry ats ats_token title department "
-    "location_raw country city is_remote employment_type salary_min salary_max salary_currency "
-    "salary_period salary_from_text skills posted_at scraped_at url"
-).split()
+# The fields of a posting.
+RAW_FIELDS = [
+    "job_id", "company_name", "company_domain", "company_industry", "ats", "ats_token", "title",
+    "department", "location_raw", "country", "city", "is_remote", "employment_type",
+    "salary_min", "salary_max", "salary_currency", "salary_period", "salary_from_text",
+    "skills", "posted_at", "scraped_at", "url",
+]
 
 _EVENT_TYPES = {
     "is_remote": "boolean",
