@@ -35,7 +35,7 @@ NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 UNIGRAM, BPE = 1, 2
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Bound on the remembered stretches of a worker, about 100 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Stretches that are joined into one call.
 GROUP = 500
 
@@ -168,10 +168,13 @@ class Codec:
         found = [list(chain.from_iterable(map(self.units.__getitem__, p))) for p in parts]
         same = [not self.changed or self.changed.isdisjoint(p) for p in parts]
         if len(self.units) > REMEMBERED:
-            self.units.clear()
-            self.changed.clear()
+            self.forget()
         return found, same
 
+    def forget(self) -> None:
+        self.units.clear()
+        self.changed.clear()
+
     def _learn(self, new: list[str]) -> None:
         """Encode stretches; those with one leading marker are joined, as each call has its price."""
         simple = [u for u in new if u[0] == MARK and u.count(MARK) == 1]
@@ -240,6 +243,7 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2, parity_share: in
                         parity[i] = judge.encode(some[i], num_threads=1) == ids[i]
                 rows = batch.slice(part.start, len(some)).select(columns)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(round_trip), pa.array(parity, pa.bool_())], [*columns, *own])
+        codec.forget()  # the worker may live on for other stages
 
     check = F.lit(False) if not parity_share else F.xxhash64("__text") % parity_share == 0
     return docs.drop(*own).withColumn("__text", F.col("text").cast("string")).withColumn("__checked", check).mapInArrow(run, schema)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hirelens.session import fresh_folder
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: ASCII white space: blank and the codes 9 to 13.
 WHITE = np.zeros(256, bool)
 WHITE[[32, *range(9, 14)]] = True
