@@ -111,6 +111,7 @@ def contaminated(docs: DataFrame, items: DataFrame, region: int = 13, agree: int
     Columns start_word, n_words and n_matched describe it; text_key is xxhash64 of the text.
     """
     spark = docs.sparkSession
+    tools.small_batches(spark)
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"))

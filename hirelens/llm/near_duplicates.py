@@ -196,6 +196,7 @@ def _rest(docs: DataFrame, nodes: DataFrame, postings: DataFrame, parts: DataFra
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, k: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_key (xxhash64 of the text) for every row of docs."""
     spark = docs.sparkSession
+    tools.small_batches(spark)
     sketched = tools.staged(_sketches(docs, size, k), "sketches")
     nodes = sketched.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = tools.staged(nodes, "nodes")

@@ -220,6 +220,7 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2, parity_share: in
     the text's hash, and is null for the others; 1 verifies all rows, 0 none. Encoding itself
     covers every row.
     """
+    tools.small_batches(docs.sparkSession)
     with open(model_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     own = ("ids", "round_trip", "parity")

@@ -269,6 +269,7 @@ def repeated(docs: DataFrame, length: int = 100) -> DataFrame:
 
 def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc_id, text_key, n_bytes, n_removed, n_spans, kept (the bytes that stay, null if all do) and kept_sha256."""
+    tools.small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     docs = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(NO_ID)), "tie": F.xxhash64("text").bitwiseAND(F.lit((1 << 23) - 1))})

@@ -101,6 +101,11 @@ def chunks(lengths: list[int], limit: int = CHUNK_BYTES) -> Iterator[slice]:
         yield slice(start, len(lengths))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers a thousand at a time: batches of ten thousand fill their memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the shared folder and read it back: lineage ends, nothing is computed twice."""
     path = fresh_folder(df.sparkSession, name)
