@@ -33,6 +33,7 @@ MARK = "▁"
 #: Numbers of the protobuf's enumerations.
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 UNIGRAM, BPE = 1, 2
+_BYTE_NAME = re.compile("<0x[0-9A-Fa-f]{2}>")
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Bound on the remembered stretches of a worker, about 100 bytes each.
 REMEMBERED = 200_000
@@ -136,10 +137,12 @@ class Codec:
         self.plain_text = not own["map"] and not own["trim"]
         self.core, self.joined = Tokenizer(core), Tokenizer(core)
         self.joined.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
-        self.names = [MARK if kind == BYTE else piece for piece, _, kind in model.pieces]
+        plain = (NORMAL, USER_DEFINED)
+        self.bytes_of = [
+            bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() if kind in plain and not _BYTE_NAME.fullmatch(piece) else None for piece, _, kind in model.pieces
+        ]
         self.core.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
         self.units: dict[str, tuple[int, ...]] = {}
-        self.changed: set[str] = set()
 
     def normalised(self, text: str) -> str:
         if not text:
@@ -158,22 +161,21 @@ class Codec:
         return ([first] if first else []) + [MARK + x for x in rest]
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of each text, and whether decoding gives the normalised text back.
+        """Ids of each text, and whether decoding them gives the normalised text back.
 
         Stretches not met before go to the library in one batch, for its threads; what they gave is
         remembered, up to ``REMEMBERED`` of them.
         """
-        parts = [self.split(self.normalised(t)) for t in texts]
+        wanted = [self.normalised(t) for t in texts]
+        parts = [self.split(t) for t in wanted]
         self._learn(list(set().union(*parts) - self.units.keys()))
         found = [list(chain.from_iterable(map(self.units.__getitem__, p))) for p in parts]
-        same = [not self.changed or self.changed.isdisjoint(p) for p in parts]
         if len(self.units) > REMEMBERED:
             self.forget()
-        return found, same
+        return found, [got == self._unmarked(t.replace(MARK, " ")) for got, t in zip(self.decode(found), wanted, strict=True)]
 
     def forget(self) -> None:
         self.units.clear()
-        self.changed.clear()
 
     def _learn(self, new: list[str]) -> None:
         """Encode stretches; those with one leading marker are joined, as each call has its price."""
@@ -186,14 +188,22 @@ class Codec:
                 self.units[unit] = tuple(ids[low:high])
         others = [u for u in new if u[0] != MARK or u.count(MARK) != 1]
         self.units |= {u: tuple(e.ids) for u, e in zip(others, self.core.encode_batch_fast(others, add_special_tokens=False), strict=True)}
-        for unit in new:
-            ids = self.units[unit]
-            if "".join(map(self.names.__getitem__, ids)) != unit and self.core.decode(list(ids), skip_special_tokens=False) != unit.replace(MARK, " "):
-                self.changed.add(unit)
+
+    def _unmarked(self, text: str) -> str:
+        return text[1:] if self.model.normaliser["prefix"] and text[:1] == " " else text
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        texts = self.core.decode_batch(ids, skip_special_tokens=False)
-        return [t[1:] if self.model.normaliser["prefix"] and t[:1] == " " else t for t in texts]
+        """The text of each list; lists with control pieces or broken bytes go to the library."""
+        texts: list[str | None] = []
+        for own in ids:
+            try:
+                texts.append(b"".join(map(self.bytes_of.__getitem__, own)).decode())
+            except (TypeError, UnicodeDecodeError):
+                texts.append(None)
+        left = [i for i, t in enumerate(texts) if t is None]
+        for i, text in zip(left, self.core.decode_batch([ids[i] for i in left], skip_special_tokens=False) if left else [], strict=True):
+            texts[i] = text
+        return [self._unmarked(t) for t in texts]
 
 
 def reference(data: bytes):
@@ -213,12 +223,12 @@ def codec_of(data: bytes) -> Codec:
     return _codecs[hash(data)]
 
 
-def encoded(docs: DataFrame, model_path: str, threads: int = 2, parity_share: int = 16) -> DataFrame:
+def encoded(docs: DataFrame, model_path: str, threads: int = 2, parity_share: int = 1) -> DataFrame:
     """docs and three columns: ``ids``, ``round_trip`` and ``parity``.
 
-    ``parity`` compares the ids with the model's own library for one in ``parity_share`` rows by
-    the text's hash, and is null for the others; 1 verifies all rows, 0 none. Encoding itself
-    covers every row.
+    ``round_trip`` decodes the row's ids. ``parity`` compares them with the model's own library,
+    once for equal texts of a chunk. 1 for ``parity_share`` verifies all rows, 0 none, more than 1
+    one in so many rows by the text's hash; parity is null for rows left out.
     """
     tools.small_batches(docs.sparkSession)
     with open(model_path, "rb") as file:
@@ -238,10 +248,11 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2, parity_share: in
                 some = texts[part]
                 ids, round_trip = codec.encode(some)
                 parity: list[bool | None] = [None] * len(some)
-                for i, wanted in enumerate(checked[part]):
-                    if wanted:
-                        judge = judge or reference(shared.value)
-                        parity[i] = judge.encode(some[i], num_threads=1) == ids[i]
+                distinct = list({t: None for t, wanted in zip(some, checked[part], strict=True) if wanted})
+                if distinct:
+                    judge = judge or reference(shared.value)
+                    right = dict(zip(distinct, judge.encode(distinct, num_threads=1), strict=True))
+                    parity = [right[t] == own if wanted else None for t, own, wanted in zip(some, ids, checked[part], strict=True)]
                 rows = batch.slice(part.start, len(some)).select(columns)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(round_trip), pa.array(parity, pa.bool_())], [*columns, *own])
         codec.forget()  # the worker may live on for other stages

@@ -202,6 +202,23 @@ def test_codec_parity(docs):
     assert sentencepiece_codec.encoded(docs(*rows).limit(0), MODEL).count() == 0
 
 
+def test_codec_verifies_every_row(docs):
+    rows = [(i, f"text {i} of\nmany") for i in range(100)] + [(7, "text 7 of\nmany")]
+    got = sentencepiece_codec.encoded(docs(*rows), MODEL).collect()
+    assert len(got) == 101 and all(r.parity is True and r.round_trip is True for r in got)
+
+
+def test_round_trip_decodes_the_ids():
+    codec = sentencepiece_codec.Codec(open(MODEL, "rb").read())
+    ids, same = codec.encode(["one two", "one", "é\x00🙂\n", ""])
+    assert same == [True] * 4
+    codec.units["▁two"] = codec.units["▁one"]
+    assert codec.encode(["one two", "one"])[1] == [False, True]
+    lists = [*ids, [1, 5, 300], [0, 2], [3 + 0xC3, 300], [3 + 0xC3, 3 + 0xA9], [300, 3 + 0xA9]]
+    whole = codec.core.decode_batch(lists, skip_special_tokens=False)
+    assert codec.decode(lists) == [t[1:] if t[:1] == " " else t for t in whole]
+
+
 def varint(n):
     out = b""
     while n > 127:
