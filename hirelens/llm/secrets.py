@@ -7,7 +7,9 @@ counts are combined before each shuffle, so a value that a third of all rows hol
 partial rows.
 
 Defined results: a null text is empty; a null owner or repository counts as one owner or repository
-of its own. Repeated rows give equal results.
+of its own. The span of a private key is its header, its value the key behind it without white space
+(line breaks may be written as ``\\n``); a header without a key is its own value. Repeated rows give
+equal results.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm import tools
-from hirelens.llm.spans import listed, spans
+from hirelens.llm.spans import listed, quoted, spans
 
 # The base patterns.
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -25,6 +27,10 @@ HEX = r"[0-9a-f]{24,}"
 GITHUB = r"gh[pousr]_[A-Za-z0-9]{36,}"
 SLACK = r"xox[abprs]-[A-Za-z0-9-]{10,}"
 KEY = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+# What follows the header: all up to the footer, or the long base64 runs of a key without one.
+BODY = r"(?=([^-]*+(?:-(?!----)[^-]*+){0,64}+(?=-----END )|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+))"
+
+BLANKS = r"\s|\\[nr]"
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "github", "slack", "private_key")
@@ -40,9 +46,11 @@ def detected(docs: DataFrame) -> DataFrame:
         "hex": spans("__text", HEX, "__text rlike '[0-9a-f]{24}'"),
         "github": spans("__text", GITHUB, "contains(__text, 'gh')"),
         "slack": spans("__text", SLACK, "contains(__text, 'xox')"),
-        "private_key": spans("__text", KEY, "contains(__text, '-----BEGIN ')"),
+        "private_key": spans("__text", KEY + BODY, "contains(__text, '-----BEGIN ')", 1),
     }
     docs = docs.withColumns({f"__{kind}": column for kind, column in found.items()})
+    body = f"regexp_replace(x.value, {quoted(BLANKS)}, '')"
+    docs = docs.withColumn("__private_key", F.expr(f"transform(__private_key, x -> named_struct('start', x.start, 'end', x.end, 'found', x.found, 'value', if({body} = '', x.found, {body})))"))
     apart = "filter(__{0}, x -> not (substring(__text, x.start, least(x.start, 1)) rlike '[A-Za-z0-9]'))".format
     return docs.withColumns({"__assign": F.expr("filter(__assign, x -> length(x.value) >= 6)"), **{f"__{kind}": F.expr(apart(kind)) for kind in ("github", "slack")}})
 

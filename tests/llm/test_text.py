@@ -140,6 +140,19 @@ def test_secrets(docs):
     assert secrets.report(docs(*rows).limit(0)).count() == 0
 
 
+def test_private_keys_are_told_apart_by_their_bodies(docs):
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = lambda k: [f"MIIE{k}" + "aB3/" * 15, f"{k}+" + "x9Zq" * 15, f"{k}Q=="]
+    pem = lambda k, line="\n": line.join([head, *body(k), foot])
+    texts = [
+        *(f"own {pem(k)} end" for k in "abc"), pem("d"), "é " + pem("d", "\\n") + " tail", pem("d", "\r\n"), *(head + "\n" + "\n".join(body(k)[:2]) for k in "efg"),
+        *(head + "\n" + "\n".join(body("h")[:2]) + f"\nand {w}" for w in ("one", "two", "three")), *[head] * 3,
+    ]
+    got = {r.doc_id: r for r in secrets.report(docs(*((i, t, None, f"s{i % 3}") for i, t in enumerate(texts)))).collect()}
+    assert [(got[i].n_live, got[i].n_example) for i in range(len(texts))] == [(1, 0)] * 3 + [(0, 1)] * 3 + [(1, 0)] * 3 + [(0, 1)] * 6
+    assert got[0].spans == "private_key:4:35" and got[4].spans == "private_key:2:33"
+
+
 def test_shards(docs, spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([None, "", "é", "text " * 50, str(i)])) for i in range(500)] + [(7, "again"), (7, "again"), (None, "no id"), (None, None)]
