@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.spans import listed, quoted, spans
+from hirelens.llm.spans import SPAN, listed, quoted, spans
 
 REACH = 40
 THRESHOLD = 0.7
@@ -26,6 +26,13 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+# A match takes the first four characters only, so that no candidate hides another; what may follow is its group.
+IBAN_HEAD = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?))"
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 
 #: kind: (score without context, bonus, context words in lower case)
@@ -62,6 +69,23 @@ def apart(characters: str) -> str:
     return f"not (substring(__text, x.start, least(x.start, 1)) rlike '{characters}') and not (substring(__text, x.end + 1, 1) rlike '{characters}')"
 
 
+def whole_ibans() -> str:
+    """A SQL expression: the spans of ``__iban`` (heads and what may follow), each cut where an IBAN ends.
+
+    Ends are tried before each blank and at the last character. The length of the country goes
+    first, then the longest; a span that begins inside the one before it is left out.
+    """
+    full = "concat(x.found, x.value)"
+    code = f"replace(substring({full}, 1, e), ' ', '')"
+    known = " or ".join(f"(length({code}) = {n} and array_contains(array({', '.join(map(repr, c.split()))}), substring(x.found, 1, 2)))" for n, c in IBAN_LENGTHS.items())
+    ends = f"""filter(sequence(12, length({full})), e -> not (substring(__text, x.start + e + 1, 1) rlike '[A-Za-z0-9]') and substring({full}, e, 1) <> ' '
+        and length({code}) between 15 and 34 and {mod97(code)})"""
+    best = f"array_max(transform({ends}, e -> named_struct('known', {known}, 'e', e))).e"
+    cut = f"""transform(filter(transform(__iban, x -> named_struct('x', x, 'n', {best})), y -> y.n is not null),
+        y -> named_struct('start', y.x.start, 'end', y.x.start + y.n, 'found', substring(__text, y.x.start + 1, y.n), 'value', substring(__text, y.x.start + 1, y.n)))"""
+    return f"aggregate({cut}, cast(array() as {SPAN}), (acc, x) -> if(size(acc) > 0 and x.start < element_at(acc, -1).end, acc, concat(acc, array(x))))"
+
+
 def score(kind: str, text: str, span: str) -> str:
     """A SQL expression: the score of the span (a struct) of this kind."""
     alone, bonus, words = SCORES[kind]
@@ -78,7 +102,7 @@ def detected(docs: DataFrame) -> DataFrame:
         "ip": spans("__text", IP, "__text rlike '[0-9][.][0-9]'"),
         "card": spans("__text", CARD, digit),
         "phone": spans("__text", PHONE, "contains(__text, '+')"),
-        "iban": spans("__text", IBAN, "__text rlike '[A-Z]{2}[0-9]{2}'"),
+        "iban": spans("__text", IBAN_HEAD, "__text rlike '[A-Z]{2}[0-9]{2}'", 1),
         "ssn": spans("__text", SSN, "__text rlike '[0-9]-[0-9]{2}-[0-9]'"),
     }
     valid = {
@@ -86,10 +110,11 @@ def detected(docs: DataFrame) -> DataFrame:
         "ip": f"x.found rlike {quoted('^' + _OCTETS + '$')}",
         "card": f"length(regexp_replace(x.found, '[^0-9]', '')) between 13 and 19 and {luhn('regexp_replace(x.found, "[^0-9]", "")')}",
         "phone": "length(regexp_replace(x.found, '[^0-9]', '')) between 9 and 15",
-        "iban": f"{apart('[A-Za-z0-9]')} and length(replace(x.found, ' ', '')) between 15 and 34 and {mod97('replace(x.found, " ", "")')}",
+        "iban": "true",
         "ssn": f"{apart('[0-9-]')} and not (x.found rlike '^(000|666|9)|-00-|0000$')",
     }
     docs = docs.withColumns({f"__{kind}": column for kind, column in found.items()})
+    docs = docs.withColumn("__iban", F.expr(whole_ibans()))
     confirmed = {}
     for kind in KINDS:
         keep = valid[kind] if kind in BASE else f"({valid[kind]}) and {score(kind, '__text', 'x')} >= {THRESHOLD}D"

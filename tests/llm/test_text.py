@@ -101,6 +101,26 @@ def test_personal_data(docs):
     assert pii.report(docs(*rows).limit(0)).count() == 0
 
 
+def test_ibans_of_all_lengths_before_other_words(docs):
+    countries = {n: c.split()[0] for n, c in pii.IBAN_LENGTHS.items()} | {33: "QX", 34: "QY"}
+    texts, expect = [], []
+    for n, country in countries.items():
+        account = ("12345678" * 5)[: n - 4]
+        number = lambda s: int("".join(str(int(c, 36)) for c in s))
+        code = f"{country}{98 - number(account + country + '00') % 97:02d}{account}"
+        spaced = " ".join(code[i : i + 4] for i in range(0, n, 4))
+        for form in (code, spaced):
+            for behind in ("", " Please pay", " A", " OK 1 now", " DATE 2024", ".", ", X"):
+                texts.append(f"to {form}{behind}")
+                expect.append(f"iban:3:{3 + len(form)}")
+        texts += [f"{spaced} {spaced}", f"{code} {code}", f"x{code}", f"{code}x"]
+        expect += [f"iban:0:{len(f)},iban:{len(f) + 1}:{2 * len(f) + 1}" for f in (spaced, code)] + ["", ""]
+    got = {r.doc_id: ",".join(s for s in r.spans.split(",") if s.startswith("iban")) for r in pii.report(docs(*enumerate(texts))).collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts)] == list(zip(texts, expect, strict=True))
+    masked = pii.redacted(docs((1, "ES9121000418450200051332 Please"))).first()
+    assert masked.text == "[IBAN] Please"
+
+
 def test_context_raises_scores(docs):
     found = {(r.kind, r.start): r.score for r in pii.scored(docs((1, "call +49 301234567 " + "." * 50 + " +49 301234567"))).collect()}
     assert found["phone", 5] == pytest.approx(0.9) and found["phone", 70] == pytest.approx(0.6)
