@@ -32,6 +32,7 @@ HINTS_FOR = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|bo
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "param", "track"}
 
 _ATTRIBUTES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_OPENED = re.compile(r"""=\s*(["'])""")
 _NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9:-]*)")
 
 
@@ -44,6 +45,19 @@ class Block:
     heading: bool
 
 
+def tag_end(page: str, low: int) -> int:
+    """Where the tag at ``low`` ends: the first '>' outside of quoted values, or the first one if a quote stays open."""
+    first = high = page.find(">", low)
+    at = low
+    while high >= 0 and (opened := _OPENED.search(page, at, high)):
+        at = page.find(opened[1], opened.end()) + 1
+        if not at:
+            return first
+        if at > high:
+            high = page.find(">", at)
+    return first if high < 0 else high
+
+
 def tokens(page: str):
     """(text, '', '') for text and ('', name, tag source) for tags; a closing tag's source starts with '/'."""
     at, n = 0, len(page)
@@ -63,11 +77,7 @@ def tokens(page: str):
             yield "<", "", ""
             at = low + 1
             continue
-        high = page.find(">", low)
-        while high >= 0 and page.count('"', low, high) % 2 and (quote := page.find('"', high)) >= 0:
-            high = page.find(">", quote)
-            if high - low > 20_000:
-                break
+        high = tag_end(page, low)
         if high < 0:
             return
         at = high + 1

@@ -37,6 +37,21 @@ def test_main_text(spark):
     assert len(texts[7]) == 399_999
 
 
+@pytest.mark.parametrize(
+    "tag",
+    [
+        """<p title='5" x'>""", """<p title="it's">""", """<p title = 'a > "b'>""", """<p title="a > 'b" class='c>d'>""", """<p 5" x>""", """<p title=5">""", "<p title='never closed>", '<p title="' + "x>" * 15_000 + '">',
+        """<p a='"' b="'" c='"'>""", "<p a=''>", '<p a="">',
+    ],
+)
+def test_quotes_in_tags_take_no_text(tag):
+    page = f"{tag}Hello</p><p>B</p>"
+    assert "".join(text for text, name, _ in html_extraction.tokens(page) if not name) == "HelloB"
+    if "never" not in tag:
+        page = f"""{tag}Hello</p><p class="a">B</p><p class='b'>C</p>"""
+        assert "".join(text for text, name, _ in html_extraction.tokens(page) if not name) == "HelloBC"
+
+
 def test_tree_fits_its_table():
     tree = html_extraction.trained()
     assert all(html_extraction.decide(tree, row[:-1]) == bool(row[-1]) for row in html_extraction.LABELLED)
