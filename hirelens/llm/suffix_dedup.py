@@ -40,8 +40,8 @@ STRIDE = 1 << 19
 #: Slices of one anchor in one collection, and slices in a task's memory.
 PER_COLLECTION, IN_MEMORY = 16_384, 16_384
 NO_ID = -(2**63)
-#: A place is the document's tie-break (23 bits of its text's hash) above the byte offset (40 bits).
-SHIFT = 40
+#: A document is its id (doc) and a 64-bit hash of its text (tie); a place is a byte offset in it.
+KEY = ("doc", "tie")
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -81,8 +81,8 @@ def slices(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray,
 
 
 def _sliced(docs: DataFrame, length: int, hashes_only: bool) -> DataFrame:
-    """anchor, slice, doc, place and shape (windows above the anchor's offset, 16 bits) of every slice."""
-    names = ["anchor"] if hashes_only else ["anchor", "slice", "doc", "place", "shape"]
+    """anchor, slice, doc, tie, place and shape (windows above the anchor's offset, 16 bits) of every slice."""
+    names = ["anchor"] if hashes_only else ["anchor", "slice", "doc", "tie", "place", "shape"]
     kinds = {"shape": "int"}
 
     def run(batches):
@@ -104,8 +104,8 @@ def _sliced(docs: DataFrame, length: int, hashes_only: bool) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(anchor)], names)
                         continue
                     row = np.searchsorted(ends, begin + low, "right")
-                    where = (ties[part.start + row] << SHIFT) | (begin + low - begins[row])
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, own, ids[part.start + row], where, (count << 16 | offset).astype(np.int32))], names)
+                    where = begin + low - begins[row]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, own, ids[part.start + row], ties[part.start + row], where, (count << 16 | offset).astype(np.int32))], names)
 
     return docs.select("doc", "tie", "text").mapInArrow(run, ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names))
 
@@ -175,27 +175,27 @@ def _digests(strings: list[bytes], heads: np.ndarray, length: int) -> tuple[np.n
     return tools.plain_long(tools.span_hashes(prefix, start, start + length)), tools.plain_long(half)
 
 
-RUNS = "doc long, place long, windows int, digest long, half long"
+RUNS = "doc long, tie long, place long, windows int, digest long, half long"
 
 
 def _constructed(contested: DataFrame, length: int) -> DataFrame:
     """Runs of repeated windows (digest null), and the windows of split anchors that lead their class."""
 
     def settle(rows: list[tuple]):
-        anchors, salts, docs, places, offsets, spread, strings = zip(*rows, strict=True)
+        anchors, salts, docs, ties, places, offsets, spread, strings = zip(*rows, strict=True)
         strings = list(strings)
         group = np.unique(np.array(list(zip(anchors, salts, strict=True))), axis=0, return_inverse=True)[1].ravel()
-        docs, places = np.array(docs), np.array(places)
+        docs, ties, places = np.array(docs), np.array(ties), np.array(places)
         rank = np.empty(len(rows), np.int64)
-        rank[np.lexsort((places, docs))] = np.arange(len(rows))
+        rank[np.lexsort((places, ties, docs))] = np.arange(len(rows))
         repeated, heads = repeated_windows(strings, np.array(offsets), group, rank, length, np.array(spread) > 1)
         edge = np.diff(np.pad(repeated, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, low = np.nonzero(edge == 1)
         high = np.nonzero(edge == -1)[1]
-        out = [docs[row], places[row] + low, (high - low).astype(np.int32)]
+        out = [docs[row], ties[row], places[row] + low, (high - low).astype(np.int32)]
         blank = np.zeros(len(row), bool)
         one, two = _digests(strings, heads, length) if len(heads) else (np.empty(0, np.int64),) * 2
-        arrays = [np.concatenate(x) for x in zip(out, (docs[heads[:, 0]], places[heads[:, 0]] + heads[:, 1], np.ones(len(heads), np.int32)), strict=True)]
+        arrays = [np.concatenate(x) for x in zip(out, (docs[heads[:, 0]], ties[heads[:, 0]], places[heads[:, 0]] + heads[:, 1], np.ones(len(heads), np.int32)), strict=True)]
         known = np.concatenate([blank, np.ones(len(heads), bool)])
         digests = [pa.array(np.concatenate([np.zeros(len(row), np.int64), x]), mask=~known) for x in (one, two)]
         return pa.RecordBatch.from_arrays([*(pa.array(x) for x in arrays), *digests], [f.split()[0] for f in RUNS.split(", ")])
@@ -203,7 +203,7 @@ def _constructed(contested: DataFrame, length: int) -> DataFrame:
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("anchor", "salt", "doc", "place", "offset", "salts", "bytes")]
+            columns = [batch[c].to_pylist() for c in ("anchor", "salt", "doc", "tie", "place", "offset", "salts", "bytes")]
             for row in zip(*columns, strict=True):
                 if len(held) >= IN_MEMORY and row[:2] != held[-1][:2]:
                     yield settle(held)
@@ -217,14 +217,16 @@ def _constructed(contested: DataFrame, length: int) -> DataFrame:
 
 
 def _near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of docs whose doc is wanted, and a few others, without a shuffle of the rest."""
-    shared = docs.sparkSession.sparkContext.broadcast(tools.bitmap(wanted))
+    """One row (doc, tie, text) of each document that is wanted, and of a few others."""
+    shared = docs.sparkSession.sparkContext.broadcast(tools.bitmap(wanted.select(F.xxhash64(*KEY).alias("slot")), hashed=True))
 
     def run(batches):
         for batch in batches:
             yield batch.filter(pa.array(tools.in_bitmap(shared.value, batch["slot"].to_numpy()))).select(["doc", "tie", "text"])
 
-    return docs.select("doc", "tie", "text", F.xxhash64("doc").alias("slot")).mapInArrow(run, "doc long, tie long, text string")
+    near = docs.select(*KEY, "text", F.xxhash64(*KEY).alias("slot")).mapInArrow(run, "doc long, tie long, text string")
+    # repeated rows meet in their tasks first, so that one row of each moves
+    return near.dropDuplicates(list(KEY))
 
 
 def repeated(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -232,39 +234,38 @@ def repeated(docs: DataFrame, length: int = 100) -> DataFrame:
     found = _sliced(docs, length, False)
     shared = _sliced(docs, length, True).groupBy("anchor").count().filter("count > 1").select("anchor")
     kept = tools.staged(found.join(shared.hint("shuffle_hash"), "anchor"), "slices")
-    where = F.struct("doc", "place")
+    where = F.struct(*KEY, "place")
     firsts = kept.groupBy("anchor", "slice").agg(F.min(where).alias("first"), F.min("shape").alias("shape"))
     firsts = tools.staged(firsts, "firsts")
     late = kept.join(firsts.select("anchor", "slice", "first"), ["anchor", "slice"]).filter(where != F.col("first"))
-    late = late.select("doc", "place", F.shiftright("shape", 16).alias("windows"))
+    late = late.select(*KEY, "place", F.shiftright("shape", 16).alias("windows"))
 
     many = firsts.groupBy("anchor").count().filter("count > 1")
     contested = firsts.join(many, "anchor").select(
-        "anchor", F.col("first.doc").alias("doc"), F.col("first.place").alias("place"), "shape", F.ceil(F.col("count") / PER_COLLECTION).cast("int").alias("salts")
+        "anchor", F.col("first.doc").alias("doc"), F.col("first.tie").alias("tie"), F.col("first.place").alias("place"), "shape", F.ceil(F.col("count") / PER_COLLECTION).cast("int").alias("salts")
     )
-    contested = contested.withColumn("salt", F.pmod(F.xxhash64("doc", "place"), "salts").cast("int"))
-    by_doc = contested.groupBy("doc", F.shiftright("place", SHIFT).alias("tie")).agg(F.collect_list(F.struct("anchor", "salt", "salts", "place", "shape")).alias("cuts"))
+    contested = contested.withColumn("salt", F.pmod(F.xxhash64(*KEY, "place"), "salts").cast("int"))
+    by_doc = contested.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "salt", "salts", "place", "shape")).alias("cuts"))
     by_doc = tools.staged(by_doc, "cuts")
 
     def cut(batches):
-        names = ["anchor", "salt", "doc", "place", "offset", "salts", "bytes"]
+        names = ["anchor", "salt", "doc", "tie", "place", "offset", "salts", "bytes"]
         for batch in batches:
-            for doc, text, cuts in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), batch["cuts"], strict=True):
+            for doc, tie, text, cuts in zip(batch["doc"].to_pylist(), batch["tie"].to_pylist(), batch["text"].to_pylist(), batch["cuts"], strict=True):
                 data, flat = text.encode(), cuts.values
                 places, shapes = flat.field("place").to_numpy(), flat.field("shape").to_numpy()
-                starts = places & ((1 << SHIFT) - 1)
-                parts = [data[s : s + n] for s, n in zip(starts, (shapes >> 16) + length - 1, strict=True)]
-                yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("salt"), pa.array([doc] * len(parts), pa.int64()), flat.field("place"), pa.array(shapes & 0xFFFF), flat.field("salts"), pa.array(parts, pa.binary())], names)
+                parts = [data[s : s + n] for s, n in zip(places, (shapes >> 16) + length - 1, strict=True)]
+                yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("salt"), *(pa.array([x] * len(parts), pa.int64()) for x in (doc, tie)), flat.field("place"), pa.array(shapes & 0xFFFF), flat.field("salts"), pa.array(parts, pa.binary())], names)
 
-    one_each = _near(docs, by_doc.select("doc")).join(by_doc, ["doc", "tie"]).dropDuplicates(["doc", "tie"])
-    strings = one_each.select("doc", "text", "cuts").mapInArrow(cut, "anchor long, salt int, doc long, place long, offset int, salts int, bytes binary")
+    one_each = _near(docs, by_doc.select(*KEY)).join(by_doc, list(KEY))
+    strings = one_each.select(*KEY, "text", "cuts").mapInArrow(cut, "anchor long, salt int, doc long, tie long, place long, offset int, salts int, bytes binary")
     built = tools.staged(_constructed(strings, length), "windows")
 
     heads = built.filter("digest is not null")
     earliest = heads.groupBy("digest", "half").agg(F.min(where).alias("first"))
     across = heads.join(earliest, ["digest", "half"]).filter(where != F.col("first"))
-    runs = late.union(built.filter("digest is null").select("doc", "place", "windows")).union(across.select("doc", "place", "windows"))
-    return runs.select("doc", F.shiftright("place", SHIFT).alias("tie"), F.expr(f"place & {(1 << SHIFT) - 1}").alias("start"), "windows")
+    runs = late.union(built.filter("digest is null").select(*KEY, "place", "windows")).union(across.select(*KEY, "place", "windows"))
+    return runs.select(*KEY, F.col("place").alias("start"), "windows")
 
 
 def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -272,7 +273,7 @@ def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
     tools.small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    docs = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(NO_ID)), "tie": F.xxhash64("text").bitwiseAND(F.lit((1 << 23) - 1))})
+    docs = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(NO_ID)), "tie": F.xxhash64("text")})
     runs = tools.staged(repeated(docs, length).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("runs")), "runs")
 
     def remove(batches):
@@ -290,7 +291,7 @@ def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
             columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch["doc"], batch["tie"], *columns], ["doc", "tie", "n_removed", "n_spans", "kept", "sha"])
 
-    cut = _near(docs, runs.select("doc")).join(runs, ["doc", "tie"]).dropDuplicates(["doc", "tie"])
+    cut = _near(docs, runs.select(*KEY)).join(runs, list(KEY))
     done = cut.select("doc", "tie", "text", "runs").mapInArrow(remove, "doc long, tie long, n_removed long, n_spans long, kept binary, sha string")
     plain = docs.select("doc_id", "doc", "tie", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
     return plain.join(done, ["doc", "tie"], "left").select(

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirelens.llm import decontamination, near_duplicates, suffix_dedup, tools
 
@@ -165,6 +166,20 @@ def test_repeated_rows_are_one_document(docs):
     assert sorted((str(r.doc_id), r.n_removed) for r in got) == [("1", 300), ("1", 300), ("2", 300), ("None", 0)]
 
 
+def test_texts_without_id_are_told_apart(docs, spark):
+    """Texts whose hashes agree in their low 23 bits, all without an id or with the same one."""
+    found = spark.range(40_000).selectExpr("concat('n', id, ' ') AS t", "xxhash64(concat('n', id, ' ', repeat('abcdefghij', 12))) & 8388607 AS low")
+    groups = found.groupBy("low").agg({"t": "collect_list"}).toDF("low", "ts").filter("size(ts) > 1").collect()
+    texts = [t + "abcdefghij" * 12 for g in groups for t in g.ts]
+    assert len(texts) > 20
+    for key in (None, 7):
+        got = suffix_dedup.deduplicated(docs(*((key, t) for t in texts), (key, texts[0]))).collect()
+        ordered = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").orderBy(F.xxhash64("t")).collect()]
+        expect = brute_bytes([(key, t) for t in ordered], 100)
+        again = expect[ordered.index(texts[0])]
+        assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted([*expect, again])
+
+
 def test_long_text_is_worked_off_in_pieces(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "STRIDE", 500)
     rng = random.Random(4)
