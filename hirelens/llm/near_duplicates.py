@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm import tools
@@ -195,10 +195,16 @@ def _rest(docs: DataFrame, nodes: DataFrame, postings: DataFrame, parts: DataFra
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, k: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_key (xxhash64 of the text) for every row of docs."""
+    return _grouped(docs, size, num, den, k).drop("leads")
+
+
+def _grouped(docs: DataFrame, size: int, num: int, den: int, k: int = 32) -> DataFrame:
+    """What near_duplicates returns, and ``leads``: the row, or one equal to it, is the first of its group by (doc_id, text_key), nulls last."""
     spark = docs.sparkSession
     tools.small_batches(spark)
     sketched = tools.staged(_sketches(docs, size, k), "sketches")
-    nodes = sketched.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    nodes = sketched.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(own).alias("lead"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = tools.staged(nodes, "nodes")
     postings = _postings(nodes, k, num, den)
     shared = postings.groupBy("value").count().filter("count > 1").select("value")
@@ -217,18 +223,43 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         parts = tools.components(found if links is None else links.union(found))
     if parts is None:
         parts = spark.createDataFrame([], "node long, component long")
-    labelled = nodes.select("node", "doc_id").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labelled = labelled.join(smallest, "component").select("node", "component_id")
+    labelled = nodes.select("node", "doc_id", "lead").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("lead").alias("lead"))
+    labelled = labelled.drop("lead").join(smallest, "component").select("node", "component_id", "lead")
     named = sketched.join(labelled, "node", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return spark.createDataFrame([], "doc_id long, n_shingles long, component_id long, kept boolean, text_key long").union(
-        named.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")), "text_key")
+    return spark.createDataFrame([], "doc_id long, n_shingles long, component_id long, kept boolean, text_key long, leads boolean").union(
+        named.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")), "text_key", own.eqNullSafe(F.col("lead")))
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs without all but one of each group; columns as they are."""
-    groups = near_duplicates(docs, size, num, den)
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__gone")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__key"))
-    return docs.join(gone, same, "left_anti")
+    """The rows of docs without all but one of each group; columns as they are.
+
+    The first by doc_id and text hash stays, a null doc_id last; of rows equal in both, the first by
+    a hash of all columns. Documents without words are in no group and stay.
+    """
+    groups = tools.staged(_grouped(docs, size, num, den).filter("n_shingles > 0").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key"), "leads"), "groups")
+    gone = groups.filter(~F.col("leads")).select("__gone", "__key").distinct()
+    repeated = groups.filter("leads").groupBy("__gone", "__key").count().filter("count > 1").select("__gone", "__key")
+    repeated = tools.staged(repeated, "repeated")
+
+    def among(rows: DataFrame) -> Column:
+        return rows["doc_id"].cast("long").eqNullSafe(F.col("__gone")) & (F.xxhash64(rows["text"].cast("string")) == F.col("__key"))
+
+    if repeated.isEmpty():
+        return docs.join(gone, among(docs), "left_anti")
+    bits = docs.sparkSession.sparkContext.broadcast(tools.bitmap(repeated.select(F.xxhash64("__gone", "__key").alias("slot")), hashed=True))
+
+    def near(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(tools.in_bitmap(bits.value, batch["__slot"].to_numpy())))
+
+    # few rows besides the repeated ones pass; a window's limit leaves one of equal rows in each task before the shuffle
+    key = F.xxhash64(F.col("text").cast("string"))
+    some = docs.withColumn("__slot", F.xxhash64(F.col("doc_id").cast("long"), key))
+    some = some.mapInArrow(near, some.schema).drop("__slot")
+    sortable = [c for c, kind in docs.dtypes if "map<" not in kind]
+    place = F.row_number().over(Window.partitionBy(F.col("doc_id").cast("long"), key).orderBy(F.xxhash64(*sortable)))
+    some = some.withColumn("__place", place).filter("__place = 1").drop("__place")
+    some = some.join(repeated, among(some), "left_semi")
+    return docs.join(gone.union(repeated), among(docs), "left_anti").union(some)

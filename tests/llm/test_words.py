@@ -71,6 +71,19 @@ def test_keep_one_keeps_columns_and_unrelated_rows(docs):
     assert kept.count() == 4
 
 
+def test_keep_one_leaves_one_row_of_a_group(docs):
+    a, b, c = ([f"{x}{i}" for i in range(40)] for x in "abc")
+    near = lambda words: " ".join([*words[:-1], "changed"])
+    rows = docs(
+        *[(1, " ".join(a))] * 5, (1, near(a)), (2, " ".join(a)), *[(None, " ".join(a))] * 3, *[(None, " ".join(b))] * 4, (None, near(b)), (None, " ".join(c)), (None, near(c)), (None, "alone with no id"),
+        (3, "alone with an id"), (4, "a repeated row alone"), (4, "a repeated row alone"), (None, ""), (None, ""), (5, None),
+    )
+    kept = near_duplicates.keep_one(rows, 3, 80, 100)
+    assert kept.columns == rows.columns
+    got = sorted(((str(r.doc_id), (r.text or "")[:1]) for r in kept.collect()))
+    assert got == sorted([("1", "a"), ("None", "b"), ("None", "c"), ("None", "a"), ("3", "a"), ("4", "a"), ("None", ""), ("None", ""), ("5", "")])
+
+
 def test_no_documents(docs, spark):
     empty = docs((1, "a")).limit(0)
     items = spark.createDataFrame([(1, "some words")], "item_id long, text string")
