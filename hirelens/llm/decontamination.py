@@ -9,13 +9,17 @@ Words are maximal runs without ASCII punctuation or blanks, lower-cased. Documen
 bitmap of the benchmark's hashes before the join; the bitmap's size is fixed, and a larger
 benchmark only lets more rows through to the join, which is exact.
 
-Defined results: null or empty texts on either side overlap with nothing; items with fewer words
-than a mask is long are hashed with the part of the mask that fits. Items without an id are named
+Runs of fewer than ``SHORT`` words (short items, or a small ``region``) have masks of their own: the
+run is cut into parts, two more than words may differ, and each mask keeps two parts whole.
+
+Defined results: null or empty texts on either side overlap with nothing. Items without an id are named
 null. Documents that repeat a doc_id are compared each on its own and reported under that id.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,23 +29,27 @@ from hirelens.llm import tools
 
 #: Together they meet every 13 aligned words of which up to two are substituted; see the tests.
 MASKS = ("1111011", "10010001111")
+#: Shorter runs of words have masks of their own.
+SHORT = 13
+
+
+def short_masks(window: int, agree: int) -> list[str]:
+    """Masks of ``window`` words, one of which at least meets only agreeing words of every overlap."""
+    allowed = window * (100 - agree) // 100
+    n = min(window, allowed + 2)
+    parts = [window * (i + 1) // n - window * i // n for i in range(n)]
+    return ["".join(str(int(i in kept)) * size for i, size in enumerate(parts)) for kept in itertools.combinations(range(n), n - allowed)]
 
 
 def words_of(texts: list[str | None]) -> list[np.ndarray]:
     return tools.word_hashes([(t or "").lower().encode() for t in texts], tools.NOT_ALNUM)
 
 
-def seeds(words: np.ndarray, lengths: np.ndarray, cut: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and word positions of all masks over concatenated documents of the given lengths.
-
-    ``cut`` shortens the masks to so many words, for items that are shorter than a mask.
-    """
+def seeds(words: np.ndarray, lengths: np.ndarray, masks: tuple[str, ...] | list[str] = MASKS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and word positions of all masks over concatenated documents of the given lengths."""
     ends = np.repeat(np.cumsum(lengths), lengths)
     found, places = [], []
-    for number, mask in enumerate(MASKS):
-        if cut is not None and cut >= len(mask):
-            continue
-        used = mask[:cut]
+    for number, used in enumerate(masks):
         at = np.flatnonzero(np.arange(len(words)) + len(used) <= ends)
         h = np.full(len(at), 31 * number + len(used) + 1, np.uint64)
         for offset, bit in enumerate(used):
@@ -52,23 +60,22 @@ def seeds(words: np.ndarray, lengths: np.ndarray, cut: int | None = None) -> tup
     return np.concatenate([*found, np.empty(0, np.uint64)]), np.concatenate([*places, np.empty(0, np.int64)])
 
 
-def _item_seeds(items: DataFrame) -> DataFrame:
+def _item_seeds(items: DataFrame, region: int, agree: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for item, words in zip(batch["item_id"].to_pylist(), words_of(batch["text"].to_pylist()), strict=True):
                 if not len(words):
                     continue
-                length = np.array([len(words)])
-                parts = [seeds(words, length), seeds(words, length, len(words))]
-                h, at = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+                window = min(region, len(words))
+                h, at = seeds(words, np.array([len(words)]), short_masks(window, agree) if window < SHORT else MASKS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tools.plain_long(h)), pa.array([item] * len(h), pa.int64()), pa.array(at), pa.array([len(words)] * len(h), pa.int64())], ["seed", "item_id", "item_at", "item_words"]
+                    [pa.array(tools.plain_long(h)), pa.array([item] * len(h), pa.int64()), pa.array(at), pa.array([window] * len(h), pa.int64())], ["seed", "item_id", "item_at", "item_window"]
                 )
 
-    return items.mapInArrow(run, "seed long, item_id long, item_at long, item_words long")
+    return items.mapInArrow(run, "seed long, item_id long, item_at long, item_window long")
 
 
-def _doc_seeds(docs: DataFrame, bits: np.ndarray, cuts: list[int]) -> DataFrame:
+def _doc_seeds(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[str, ...]]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -80,8 +87,8 @@ def _doc_seeds(docs: DataFrame, bits: np.ndarray, cuts: list[int]) -> DataFrame:
                 row = np.repeat(np.arange(len(words)), lengths)
                 begins = np.cumsum(lengths) - lengths
                 joined = np.concatenate(words)
-                for cut in (None, *cuts):
-                    h, at = seeds(joined, lengths, cut)
+                for masks in kinds:
+                    h, at = seeds(joined, lengths, masks)
                     hit = tools.in_bitmap(shared.value, h)
                     h, at = h[hit], at[hit]
                     if len(h):
@@ -115,11 +122,11 @@ def contaminated(docs: DataFrame, items: DataFrame, region: int = 13, agree: int
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"))
-    item_seeds = tools.staged(_item_seeds(items), "item-seeds")
-    longest = max(map(len, MASKS))
-    cuts = sorted(r.item_words for r in item_seeds.filter(F.col("item_words") < longest).select("item_words").distinct().collect())
+    item_seeds = tools.staged(_item_seeds(items, region, agree), "item-seeds")
+    short = sorted(r.item_window for r in item_seeds.filter(F.col("item_window") < SHORT).select("item_window").distinct().collect())
+    kinds = [MASKS, *(tuple(short_masks(window, agree)) for window in short)]
     bits = tools.bitmap(item_seeds.select("seed"), 26, hashed=True)
-    hits = _doc_seeds(docs, bits, cuts).join(item_seeds, "seed")
+    hits = _doc_seeds(docs, bits, kinds).join(item_seeds, "seed")
     hits = tools.staged(hits.select("doc_id", "text_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "hits")
 
     wanted = spark.sparkContext.broadcast(tools.bitmap(hits.select("text_key")))

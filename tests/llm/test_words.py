@@ -110,6 +110,30 @@ def test_masks_meet_two_substitutions_in_thirteen():
         assert any(all(s + i not in gone for i in o) for n, o in offsets for s in range(13 - n + 1))
 
 
+def test_masks_meet_all_allowed_substitutions_in_items_of_any_length():
+    for length in range(1, 14):
+        masks = decontamination.short_masks(length, 80) if length < decontamination.SHORT else decontamination.MASKS
+        places = [{s + i for i, b in enumerate(m) if b == "1"} for m in masks for s in range(length - len(m) + 1)]
+        allowed = max(n for n in range(length) if 100 * (length - n) >= 80 * length)
+        for gone in itertools.combinations(range(length), allowed):
+            assert any(p.isdisjoint(gone) for p in places), (length, gone)
+
+
+def test_decontamination_by_short_items(docs, spark):
+    rows, items, expect = [], [], set()
+    for length in range(1, 14):
+        words = [f"t{length}i{i}" for i in range(length)]
+        items.append((length, " ".join(words)))
+        allowed = length // 5
+        for gone in [c for n in range(allowed + 2) for c in itertools.combinations(range(length), n)][:150]:
+            expect |= {(len(rows), length)} if len(gone) <= allowed else set()
+            rows.append((len(rows), "before it " + " ".join("other" if i in gone else w for i, w in enumerate(words)) + " and after"))
+    found = decontamination.contaminated(docs(*rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == expect
+    region = decontamination.contaminated(docs((1, "x a b c other e y")), spark.createDataFrame([(1, "a b c d e " + "f " * 20)], "item_id long, text string"), region=5)
+    assert region.count() == 1
+
+
 def test_decontamination(docs, spark):
     rng = random.Random(3)
     item = [f"q{i}" for i in range(30)]
