@@ -9,8 +9,6 @@ sys.path[:0] = [os.path.dirname(HERE), HERE]
 from hirelens import schemas  # noqa: E402
 from hirelens.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -46,7 +44,3 @@ def text_rows(spark):
         return spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schemas.CSV)
 
     return build
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 """Star schema, batch job and warehouse plans."""
 
 import pytest
-from conftest import SMALL, plan_of
+from helpers import SMALL, plan_of
 from pyspark.sql import functions as F
 
 from hirelens import catalogue, schemas

@@ -1,7 +1,7 @@
 """The jobs end to end on landed messages."""
 
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 
 from hirelens import jobs, schemas
 from hirelens.sources import driver_tables, events, lake

@@ -1,6 +1,6 @@
 """De-duplication, keys, lookups, filters, inserts and the split."""
 
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
