@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import decontamination, html_extraction, near_duplicates, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, sharding, suffix_dedup, tools
+from hirelens.llm import (
+    decontamination, html_extraction, lexical_search, near_duplicates, pii, prefix_trie, quality_classifier, quality_rules, secrets, sentencepiece_codec, sharding, substring_dedup,
+    suffix_dedup, tools,
+)
 from hirelens.llm.oracle import ORACLE_SQL  # noqa: F401
 
 #: The model that the codec query encodes with; a parameter of the operator.
@@ -60,9 +63,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(stats, quality_classifier.train(stats, _table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(_table(spark, sf_dir, "conversations"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 20)
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(_table(spark, sf_dir, "documents"), 20).drop("kept")
+
+
 _ALL = (
     op1_html_extraction, op2_quality_rules, op3_sentencepiece_codec, op4_minhash_near_dedup, op5_benchmark_decontamination,
     op6_suffix_dedup, op7_pii, op8_sharding, op9_secret_scan, op10_quality_classifier,
+    op11_prefix_trie, op12_lexical_search, op13_substring_dedup,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-

@@ -142,10 +142,47 @@ SELECT doc_id, {counts}, sha256({listed("o < 3")}) AS base_sha256, {listed("kind
   count(*) FILTER (owners < 3)::BIGINT AS n_live, count(*) FILTER (owners >= 3)::BIGINT AS n_example FROM a GROUP BY doc_id"""
 
 
+PREFIX_TRIE = """
+WITH c AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (SELECT conv_id, s, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii((conv_id::VARCHAR)[i])::BIGINT)),
+  lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)))) % 6 AS h FROM c),
+own AS (SELECT crc.conv_id, list_concat(CASE WHEN b.s IS NULL THEN crc.s[1:0] ELSE b.s[1:h] END, crc.s[h + 1:]) AS s FROM crc LEFT JOIN c b ON b.conv_id = crc.conv_id - crc.conv_id % 100),
+m AS (SELECT conv_id, s[1:d] AS p, d, len(s) AS l FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM own)),
+n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (l = d), '') AS ends FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+t AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(length(n.p[d].t), 0) AS saved FROM n LEFT JOIN k ON k.p = n.p),
+up AS (SELECT a, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT p[1:i] AS a, n_children, saved FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM t)) GROUP BY a)
+SELECT t.conv_id, t.d::BIGINT AS depth, o.conv_id AS parent_conv_id, t.n_convs, t.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(t.ends) AS ends_sha256
+FROM t JOIN up ON up.a = t.p LEFT JOIN n o ON t.d > 0 AND o.d = t.d - 1 AND o.p = t.p[1:t.d - 1]"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d),
+tf AS (SELECT doc_id, len(ts) AS n, t, count(*) AS tf FROM (SELECT doc_id, ts, unnest(ts) AS t FROM d) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY t, n_docs),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+found AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t), s GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM found WHERE score > 0) WHERE rank <= 20"""
+
+SUBSTRING_DEDUP = f"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_BLANK}'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS gs FROM late GROUP BY doc_id),
+a AS (SELECT doc_id, ws, coalesce(len(gs), 0) AS n_removed, gs FROM w LEFT JOIN gone USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(ws[j], ' ' ORDER BY j) AS t FROM (SELECT doc_id, ws, gs, unnest(range(1, len(ws) + 1)) AS j FROM a) WHERE gs IS NULL OR NOT list_contains(gs, j) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM a LEFT JOIN kept USING (doc_id)"""
+
 ORACLE_SQL = {
     "op2_quality_rules": _rules(),
     "op4_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_suffix_dedup": SUFFIX_DEDUP,
     "op7_pii": _pii(),
     "op9_secret_scan": _secrets(),
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_lexical_search": LEXICAL_SEARCH,
+    "op13_substring_dedup": SUBSTRING_DEDUP,
 }
