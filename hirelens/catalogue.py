@@ -21,9 +21,10 @@ from hirelens.functions import aggregates as A
 from hirelens.functions import dates, location, rules, salary
 from hirelens.operators import insert, topk, wildcard
 from hirelens.plans import dashboards, estimator, gold, mart, medallion, salary_model, silver
-from hirelens.plans import warehouse
+from hirelens.plans import upkeep, warehouse
 from hirelens.session import fresh_folder
 from hirelens.sources import driver_tables, events, lake, postings_csv
+from hirelens.sources.versions import Store
 from hirelens.streaming import bronze, metrics
 
 
@@ -65,6 +66,21 @@ class Context:
     def mart(self) -> DataFrame:
         return mart.project(self.silver())
 
+    def live(self) -> upkeep.LiveLake:
+        """A lake that took all postings in four batches, some of them replacing earlier ones."""
+
+        def run() -> upkeep.LiveLake:
+            # the postings are derived once, not once a batch
+            rows = lake.overwrite(self.raw(), fresh_folder(self.spark, "arrivals"))
+            live = upkeep.LiveLake(self.spark, fresh_folder(self.spark, "live"), buckets=8)
+            hour = F.substring("ingestion_timestamp", 12, 2).cast("int")
+            batch = F.coalesce(hour % O.BATCHES, F.lit(0))
+            for number in range(O.BATCHES):
+                live.apply(rows.filter(batch == number))
+            return live
+
+        return self.once("live", run)
+
     def landed_messages(self) -> str:
         def land() -> str:
             path = fresh_folder(self.spark, "messages")
@@ -945,6 +961,101 @@ def _(c: Context) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# --- versions and increments ------------------------------------------------------------------
+
+
+class Killed(RuntimeError):
+    pass
+
+
+@job("publish_killed_build", "SELECT fact_key, job_id, company_key, location_key, title FROM fact")
+def _(c: Context) -> DataFrame:
+    """A second build dies when Silver and a part of Gold are written: readers see the first, whole."""
+    store = Store(c.spark, fresh_folder(c.spark, "published"))
+    medallion.build_version(store, c.raw)
+    draft = store.draft()
+    try:
+        second = medallion.Lakehouse(
+            c.spark, f"{store.root}/{medallion.BUILDS}/{draft.run}", lambda: c.raw().filter("is_remote")
+        )
+        medallion.run(second, "bronze-to-silver")
+        for name in ("dim_company", "gold_remote_trends"):
+            draft.put(name, f"{medallion.BUILDS}/{draft.run}/{name}")
+            second.table(name)
+        raise Killed
+    except Killed:
+        pass
+    facts = medallion.opened(store).table("fact_job_postings")
+    return facts.select("fact_key", "job_id", "company_key", "location_key", "title")
+
+
+SOME = "url LIKE '%5'"
+
+
+@job("publish_switch", "SELECT 'held' AS reader, company_name, total_jobs_posted FROM dim_company "
+     "UNION ALL SELECT 'new', company_name, count(*) FROM "
+     f"({O.silver_of(SOME)}) GROUP BY ALL")
+def _(c: Context) -> DataFrame:
+    """A reader goes on with the version it opened; one that comes later sees the next, whole."""
+    store = Store(c.spark, fresh_folder(c.spark, "published"))
+    medallion.build_version(store, c.raw)
+    held = medallion.opened(store)
+    medallion.build_version(store, lambda: c.raw().filter(SOME))
+    new = medallion.opened(store)
+    shown = [
+        tables.table("dim_company").select(F.lit(reader).alias("reader"), "company_name", "total_jobs_posted")
+        for reader, tables in (("held", held), ("new", new))
+    ]
+    return shown[0].unionByName(shown[1])
+
+
+add("silver_increments", lambda c: c.live().table("silver"), f"SELECT {SILVER_COLUMNS} FROM silver")
+for _name in upkeep.KEPT:
+    _fields = [f for f in schemas.GOLD[_name].fieldNames() if f != upkeep.KEPT[_name].key_map]
+    add(
+        f"{_name if _name.startswith('gold') else 'gold_' + _name}_increments",
+        lambda c, name=_name, fields=tuple(_fields): c.live().table(name).select(*fields),
+        AGGREGATES.get(_name, f"SELECT {', '.join(_fields)} FROM {_name}"),
+    )
+for _key, (_, _names) in upkeep.NAMES.items():
+    _of = "{silver}" if _key != "skill_key" else O.MENTIONS.replace("FROM silver", "FROM ({silver})")
+    add(
+        f"win_{_key}_stable",
+        lambda c, key=_key: c.live().table(key),
+        O.keys_by_arrival(_key, _names, _of),
+    )
+
+
+@job("gold_fact_increments", "SELECT job_id, company_name, city_normalized AS city, role_category, "
+     "experience_level, annual_salary_usd, is_remote FROM silver")
+def _(c: Context) -> DataFrame:
+    """The facts through their keys, which other increments gave out."""
+    table = c.live().table
+    facts = table("fact_job_postings").join(table("company_key"), "company_key")
+    facts = facts.join(table("dim_location").drop("is_remote"), "location_key")
+    facts = facts.join(F.broadcast(table("dim_job_role")), "role_key")
+    return facts.select(
+        "job_id", "company_name", "city", "role_category", "experience_level", PAY, "is_remote"
+    )
+
+
+@job("gold_bridge_increments", "SELECT job_id, skill_name FROM mentions")
+def _(c: Context) -> DataFrame:
+    pairs = c.live().table("bridge_job_skills")
+    return pairs.join(c.live().table("dim_skill"), "skill_key").select("job_id", "skill_name")
+
+
+@job("gold_fact_key_increments", "SELECT count(*) AS facts, count(*) AS keys, "
+     "CAST(1 AS BIGINT) AS lowest, count(*) AS highest FROM silver")
+def _(c: Context) -> DataFrame:
+    """Fact keys are dense and unique after any number of increments."""
+    key = F.col("fact_key")
+    return c.live().table("fact_job_postings").agg(
+        F.count("*").alias("facts"), F.count_distinct(key).alias("keys"),
+        F.min(key).alias("lowest"), F.max(key).alias("highest"),
+    )
+
+
 PAID = f"{PAY} IS NOT NULL"
 AVG, LOW, HIGH = O.mean(PAY), f"round(min({PAY}), 2)", f"round(max({PAY}), 2)"
 SHARE = O.percent("is_remote")

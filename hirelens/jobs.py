@@ -17,7 +17,9 @@ from hirelens import schemas
 from hirelens.operators.insert import insert_only
 from hirelens.plans import mart, medallion, salary_model, warehouse
 from hirelens.plans.silver import identified
+from hirelens.plans.upkeep import BUCKETS, LiveLake
 from hirelens.sources import events, lake
+from hirelens.sources.versions import Store, Version
 from hirelens.streaming import bronze, metrics
 
 
@@ -68,11 +70,13 @@ def etl(
     stage: str = "all",
     days: tuple[str | None, str | None] = (None, None),
     buckets: int | None = None,
+    publish: bool = False,
 ) -> dict[str, DataFrame]:
     """Bronze (or CSV) to Silver to Gold below ``root``.
 
     With ``days``, the postings that arrived on those ingest days are built anew in Silver and all
-    others stay as they are; Gold then follows from the whole of Silver.
+    others stay as they are; Gold then follows from the whole of Silver. With ``publish``, the build
+    goes to folders of its own and becomes the current version at its end, all tables at once.
     """
     in_utc(spark)
 
@@ -84,13 +88,41 @@ def etl(
 
     some = arrived if days != (None, None) else None
     source = None if stage == "silver-to-gold" else raw
+    if publish:
+        store = Store(spark, root)
+        version = medallion.build_version(store, source, stage, buckets=buckets, arrived=some)
+        return {name: spark.read.parquet(home) for name, home in medallion.homes(store, version).items()}
     lakehouse = medallion.Lakehouse(spark, root, raw=source, buckets=buckets, arrived=some)
     return medallion.run(lakehouse, stage)
 
 
 def ask(spark: SparkSession, root: str, question: str) -> DataFrame:
     """One of the twenty warehouse questions, over the Gold tables already below ``root``."""
-    return warehouse.QUERIES[question](medallion.Lakehouse(spark, root).reopen().table)
+    store = Store(spark, root)
+    version = store.current()
+    tables = medallion.opened(store, version) if version.number else medallion.Lakehouse(spark, root).reopen()
+    return warehouse.QUERIES[question](tables.table)
+
+
+def upkeep(
+    spark: SparkSession,
+    root: str,
+    bronze_path: str,
+    days: tuple[str | None, str | None] = (None, None),
+    buckets: int = BUCKETS,
+    keep: int | None = None,
+) -> Version:
+    """Add the rows that arrived on some ingest days to the lake kept below ``root``.
+
+    The first run takes all that is there. Days may overlap those of earlier runs. With ``keep``,
+    all but that many versions are dropped afterwards.
+    """
+    in_utc(spark)
+    live = LiveLake(spark, root, buckets=buckets)
+    version = live.apply(lake.read_bronze(spark, bronze_path, *days))
+    if keep is not None:
+        live.store.expire(keep)
+    return version
 
 
 def printed(answer: DataFrame) -> Iterator[str]:
@@ -161,7 +193,7 @@ def sync_mart(
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    jobs = ["ingest", "etl", "ask", "train", "score", "request", "mart", "tables"]
+    jobs = ["ingest", "etl", "upkeep", "ask", "train", "score", "request", "mart", "tables"]
     parser.add_argument("job", choices=jobs)
     parser.add_argument("--root", help="folder of Silver, Gold, mart, model and predictions")
     parser.add_argument("--bronze", help="Bronze folder")
@@ -178,7 +210,9 @@ def main() -> None:
     parser.add_argument("--salts", type=int, default=1, help="groups per id in global mode")
     parser.add_argument("--max-offsets", type=int, default=events.MAX_OFFSETS_PER_TRIGGER)
     parser.add_argument("--fail-on-data-loss", action="store_true")
-    parser.add_argument("--buckets", type=int, help="buckets of fact and bridge")
+    parser.add_argument("--buckets", type=int, help="buckets of fact and bridge, or of a lake kept up")
+    parser.add_argument("--publish", action="store_true", help="replace all tables in one step")
+    parser.add_argument("--keep", type=int, help="versions that stay after upkeep")
     parser.add_argument("--request", help="a posting to score, as JSON, for the job request")
     parser.add_argument("--database", default="hirelens", help="catalog name for the job tables")
     parser.add_argument("--trees", type=int, default=salary_model.TREES)
@@ -196,7 +230,11 @@ def main() -> None:
         return
     if args.job == "etl":
         days = (args.first_day, args.last_day)
-        etl(spark, args.root, args.bronze, args.csv, args.stage, days, args.buckets)
+        etl(spark, args.root, args.bronze, args.csv, args.stage, days, args.buckets, args.publish)
+        return
+    if args.job == "upkeep":
+        days = (args.first_day, args.last_day)
+        upkeep(spark, args.root, args.bronze, days, args.buckets or BUCKETS, args.keep)
         return
     if args.job == "ask":
         for line in printed(ask(spark, args.root, args.question)):
@@ -208,7 +246,8 @@ def main() -> None:
         score_requests(spark, [row], f"{args.root}/model", f"{args.root}/prediction_results")
         return
     if args.job == "tables":
-        lake.register_external(spark, args.database, args.root)
+        store = Store(spark, args.root)
+        lake.register_external(spark, args.database, args.root, medallion.homes(store, store.current()))
         return
     silver = silver_or_build(spark, args.root, args.bronze, args.csv)
     model = f"{args.root}/model"

@@ -295,6 +295,31 @@ SELECT job_id, coalesce(role_category, 'Other Tech Roles') AS role_category,
   annual_salary_usd AS label
 FROM silver"""
 
+#: Postings arrive in four batches, by the hour of their stamp; those without one in the first.
+BATCHES = 4
+BATCH = f"coalesce(CAST(substr(ingestion_timestamp, 12, 2) AS INTEGER) % {BATCHES}, 0)"
+
+
+def silver_of(condition: str) -> str:
+    """Silver as built from the postings that meet a condition."""
+    some = LATEST.replace("FROM postings", f"FROM (SELECT * FROM postings WHERE {condition})")
+    return SILVER.replace("FROM latest", f"FROM ({some})")
+
+
+def keys_by_arrival(key: str, names: dict[str, str], source: str = "{silver}") -> str:
+    """Keys numbered by the batch that first brought a name, then by the name."""
+    columns = ", ".join(f"{column} AS {name}" for column, name in names.items())
+    seen = " UNION ALL ".join(
+        f"SELECT {columns}, {b} AS batch FROM ({source.format(silver=silver_of(f'{BATCH} <= {b}'))})"
+        for b in range(BATCHES)
+    )
+    listed_names = ", ".join(names.values())
+    return (
+        f"SELECT CAST(row_number() OVER (ORDER BY first_batch, {listed_names}) AS BIGINT) AS {key}, "
+        f"{listed_names} FROM (SELECT {listed_names}, min(batch) AS first_batch FROM ({seen}) GROUP BY ALL)"
+    )
+
+
 CTES = {
     "brands": BRANDS,
     "postings": POSTINGS,

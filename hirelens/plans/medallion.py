@@ -7,7 +7,7 @@ surrogate keys are decided once, and a lost executor costs a few tasks rather th
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -18,6 +18,7 @@ from hirelens import schemas
 from hirelens.plans import gold, silver
 from hirelens.session import fresh_folder
 from hirelens.sources import lake
+from hirelens.sources.versions import Store, Version
 
 LAYOUT = "_layout"
 BUCKETED = ("fact_job_postings", "bridge_job_skills")
@@ -37,9 +38,11 @@ class Lakehouse:
         using: silver.Rules = silver.Rules(),
         buckets: int | None = None,
         arrived: Callable[[], DataFrame] | None = None,
+        homes: Mapping[str, str] | None = None,
     ):
         """``raw`` yields everything ingested; with ``arrived``, only the postings of those rows are
         built anew in a Silver table that exists. ``buckets`` overrides the count from the rows.
+        ``homes`` says where tables that exist are read from, if not below the root.
         """
         self.spark = spark
         self.root = root.rstrip("/")
@@ -48,12 +51,17 @@ class Lakehouse:
         self._arrived = arrived
         self._buckets = buckets
         self._open: dict[str, DataFrame] = {}
+        self._homes = dict(homes or {})
         # a bucket of fact and bridge is one file, in the order it was sorted in when written
         spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _home(self, name: str) -> str:
+        """Where an earlier build left a table."""
+        return self._homes.get(name, self.path(name))
+
     def table(self, name: str) -> DataFrame:
         """The published columns of a table in their declared types."""
         if name == "silver":
@@ -72,7 +80,7 @@ class Lakehouse:
     def _define(self, name: str) -> DataFrame:
         if name == "silver":
             if self._raw is None:
-                return lake.read_silver(self.spark, self.path("silver"))
+                return lake.read_silver(self.spark, self._home("silver"))
             if self._arrived is None:
                 return silver.build(self._raw(), self._using)
             return self._refreshed_silver()
@@ -104,7 +112,7 @@ class Lakehouse:
     def _refreshed_silver(self) -> DataFrame:
         """Written beside the old table first, which it is read from."""
         try:
-            old = lake.read_silver(self.spark, self.path("silver"))
+            old = lake.read_silver(self.spark, self._home("silver"))
         except AnalysisException:
             old = self.spark.createDataFrame([], schemas.SILVER)
         new = silver.refreshed(old, self._raw(), self._arrived(), self._using)
@@ -142,19 +150,20 @@ class Lakehouse:
         The bucket count comes from the note that run left: declaring another one over the same
         files would give wrong joins.
         """
-        self._buckets = self.spark.read.json(self.path(LAYOUT)).first()["buckets"]
+        layout = self._home("fact_job_postings").rpartition("/")[0] + "/" + LAYOUT
+        self._buckets = self.spark.read.json(layout).first()["buckets"]
         database = self._database()
-        self._open["silver"] = lake.read_silver(self.spark, self.path("silver"))
+        self._open["silver"] = lake.read_silver(self.spark, self._home("silver"))
         for name in schemas.GOLD:
             if name not in BUCKETED:
-                self._open[name] = self.spark.read.parquet(self.path(name))
+                self._open[name] = self.spark.read.parquet(self._home(name))
                 continue
             fields = schemas.GOLD[name].fields
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
                 f"CLUSTERED BY (job_id) SORTED BY (job_id) INTO {self._buckets} BUCKETS "
-                f"LOCATION '{self.path(name)}'"
+                f"LOCATION '{self._home(name)}'"
             )
             self._open[name] = self.spark.table(f"{database}.{name}")
         return self
@@ -201,3 +210,54 @@ def run(lakehouse: Lakehouse, stage: str = "all") -> dict[str, DataFrame]:
                 lakehouse.note_layout()
             list(pool.map(lakehouse.table, wave))
     return lakehouse.tables(name for wave in waves for name in wave)
+
+
+# --- builds that readers see as a whole -------------------------------------------------------
+
+BUILDS = "_builds"
+
+
+def homes(store: Store, version: Version) -> dict[str, str]:
+    """The folder of every table of a version that ``build_version`` published."""
+    return {name: folders[0] for name in version.tables if (folders := store.folders(version, name))}
+
+
+def build_version(
+    store: Store,
+    raw: Callable[[], DataFrame] | None = None,
+    stage: str = "all",
+    using: silver.Rules = silver.Rules(),
+    buckets: int | None = None,
+    arrived: Callable[[], DataFrame] | None = None,
+) -> Version:
+    """Build the tables of a stage in folders of their own and publish them together.
+
+    Readers keep the version they opened; a build that fails publishes nothing. The stages read
+    Silver from the version that was current when the build began.
+    """
+    draft = store.draft()
+    lakehouse = Lakehouse(
+        store.spark, f"{store.root}/{BUILDS}/{draft.run}", None if stage == "silver-to-gold" else raw,
+        using, buckets, arrived, homes(store, draft.base),
+    )
+    built = run(lakehouse, stage)
+    checked(built)
+    for name in built:
+        draft.put(name, f"{BUILDS}/{draft.run}/{name}")
+    return draft.publish()
+
+
+def checked(built: Mapping[str, DataFrame]) -> None:
+    """Refuse a build whose facts are not the postings of its Silver, one each."""
+    if not {"silver", "fact_job_postings"} <= built.keys():
+        return
+    postings, facts = built["silver"].count(), built["fact_job_postings"].count()
+    if postings != facts:
+        raise ValueError(f"{facts} facts for {postings} postings")
+
+
+def opened(store: Store, version: Version | None = None) -> Lakehouse:
+    """The tables of a published version, which stay as they are whatever is published later."""
+    version = version or store.current()
+    root = f"{store.root}/{BUILDS}/readers-{version.number}"
+    return Lakehouse(store.spark, root, homes=homes(store, version)).reopen()

@@ -53,14 +53,18 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
-def register_external(spark: SparkSession, database: str, root: str) -> list[str]:
-    """Declare every Gold table, and the prediction table, over the files below ``root``."""
+def register_external(
+    spark: SparkSession, database: str, root: str, homes: dict[str, str] | None = None
+) -> list[str]:
+    """Declare every Gold table, and the prediction table, over the files below ``root``.
+
+    ``homes`` gives the folders of tables that lie elsewhere, as those of a published version do.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_database'")
     layouts = {**schemas.GOLD, "prediction_results": schemas.PREDICTION}
     for name, layout in layouts.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout.fields)
+        home = (homes or {}).get(name, f"{root}/{name}")
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(
-            f"CREATE TABLE {database}.{name} ({columns}) USING parquet LOCATION '{root}/{name}'"
-        )
+        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet LOCATION '{home}'")
     return list(layouts)

@@ -72,3 +72,27 @@ def test_answers_are_printed_whole(spark):
 
 def test_missing_silver_is_built(spark, landed, folder):
     assert jobs.silver_or_build(spark, folder("root"), landed, "").count() > 0
+
+
+def test_a_published_build_is_answered_from_and_replaced_whole(spark, landed, folder):
+    root = folder("root")
+    built = jobs.etl(spark, root, landed, "", publish=True)
+    postings = built["silver"].count()
+    assert jobs.ask(spark, root, "q01_kpi").first().total_job_postings == postings
+    jobs.etl(spark, root, "", "", "silver-to-gold", publish=True)
+    assert jobs.ask(spark, root, "q13_top5_levels").count() > 0
+    store = jobs.Store(spark, root)
+    assert store.current().number == 2
+    homes = jobs.medallion.homes(store, store.current())
+    lake.register_external(spark, "hirelens_published_test", root, homes)
+    assert spark.table("hirelens_published_test.fact_job_postings").count() == postings
+
+
+def test_upkeep_by_days_equals_one_build(spark, landed, folder):
+    root = folder("root")
+    jobs.upkeep(spark, root, landed, (None, "2002-01-01"), buckets=4)
+    version = jobs.upkeep(spark, root, landed, ("2002-01-01", None), buckets=4, keep=1)
+    live = jobs.LiveLake(spark, root)
+    full = jobs.etl(spark, folder("full"), landed, "", "bronze-to-silver")["silver"]
+    assert version.notes["buckets"] == 4 and live.store.current() == version
+    assert sorted(map(str, live.table("silver").collect())) == sorted(map(str, full.collect()))
