@@ -10,9 +10,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import oracle as O
@@ -25,7 +26,12 @@ from hirelens.plans import upkeep, warehouse
 from hirelens.session import fresh_folder
 from hirelens.sources import driver_tables, events, lake, postings_csv
 from hirelens.sources.versions import Store
-from hirelens.streaming import bronze, metrics
+from hirelens.operators.keys import dense_key
+from hirelens.streaming import bronze, commits, metrics, states
+
+
+#: Files that land at a time; grows with the cluster, so that no task holds more than its share.
+FILES = 8
 
 
 @dataclass
@@ -82,18 +88,24 @@ class Context:
         return self.once("live", run)
 
     def landed_messages(self) -> str:
+        """The messages in four parts by time; a part is ``FILES`` files, which a batch takes."""
+
         def land() -> str:
             path = fresh_folder(self.spark, "messages")
-            rows = self.messages()
+            rows = lake.overwrite(self.messages(), fresh_folder(self.spark, "messages-all"))
             cuts = rows.agg(F.percentile_approx("timestamp", [0.25, 0.5, 0.75])).first()[0]
             part = sum((F.col("timestamp") > cut).cast("int") for cut in cuts)
             for number in range(len(cuts) + 1):
-                one = rows.filter(part == number).repartition(1).sortWithinPartitions("timestamp")
-                one.write.mode("append").parquet(path)
+                self.land(rows.filter(part == number), path)
             return path
 
         return self.once("messages", land)
 
+    @staticmethod
+    def land(rows: DataFrame, path: str) -> None:
+        """Add rows as ``FILES`` files, one batch of a stream at that pace."""
+        rows.repartition(FILES).write.mode("append").parquet(path)
+
     def landed_csv(self) -> str:
         def land() -> str:
             path = fresh_folder(self.spark, "csv")
@@ -104,14 +116,14 @@ class Context:
         return self.once("csv", land)
 
     def bronze(self, mode: str = "global", salts: int = 1) -> str:
-        """Run the Bronze stream over the landed messages, a file per batch, in order of time.
+        """Run the Bronze stream over the landed messages, a part per batch, in order of time.
 
         Every hundredth message or so has no stamp. Returns the table's path.
         """
 
         def run() -> str:
             path = fresh_folder(self.spark, "bronze")
-            stream = events.from_files(self.spark, self.landed_messages(), files_per_trigger=1)
+            stream = events.from_files(self.spark, self.landed_messages(), files_per_trigger=FILES)
             series = fresh_folder(self.spark, "metrics")
             recorder = metrics.record(self.spark, series, f"bronze_{mode}_{salts}")
             query = bronze.start(
@@ -334,11 +346,67 @@ def _(c: Context) -> DataFrame:
 add("sink_bronze_stream", lambda c: c.bronze_table().groupBy("has_salary_info").agg(
     F.count("*").alias("rows")),
     f"SELECT has_salary_info, count(*) AS rows FROM ({BRONZE_SQL}) GROUP BY ALL")
-add("sink_preview_stream", lambda c: bronze.preview(c.bronze_table()).drop("title",
-    "ingestion_time"),
-    "SELECT DISTINCT job_id, company_name, city, is_remote, salary_min, salary_max, "
-    "CAST(coalesce(len(skills), 0) AS INTEGER) AS skills_count FROM postings "
-    "WHERE trim(job_id) <> '' AND trim(title) <> ''")
+
+
+class Unlucky(commits.CommittedSink):
+    """A sink whose query dies once, after a batch is published and before it is checkpointed."""
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        super().__call__(batch, number)
+        if number == 1 and not getattr(self, "died", False):
+            self.died = True
+            raise RuntimeError("died")
+
+
+def _committed(c: Context) -> commits.CommittedSink:
+    """The messages through the committing sink, one batch twice, with the whole preview; compacted by twos."""
+
+    def run() -> commits.CommittedSink:
+        sink = Unlucky(c.spark, fresh_folder(c.spark, "committed"), preview_rows=None, fan=2)
+        checkpoint = fresh_folder(c.spark, "checkpoint")
+        for last in (False, True):
+            stream = bronze.process(events.from_files(c.spark, c.landed_messages(), FILES))
+            query = commits.start(stream, sink, checkpoint, trigger=None, name="committed")
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                if last:
+                    raise
+        c.kept["preview version"] = sink.store.current()
+        sink.compact()
+        return sink
+
+    return c.once("committed", run)
+
+
+@job("sink_preview_stream", "SELECT DISTINCT job_id, company_name, city, is_remote, salary_min, "
+     "salary_max, CAST(coalesce(len(skills), 0) AS INTEGER) AS skills_count FROM postings "
+     "WHERE trim(job_id) <> '' AND trim(title) <> ''")
+def _(c: Context) -> DataFrame:
+    """What the running query wrote to the preview beside the table."""
+    shown = commits.read_preview(_committed(c).store, c.kept["preview version"])
+    return shown.drop("title", "ingestion_time")
+
+
+@job("sink_bronze_committed", BRONZE_SQL)
+def _(c: Context) -> DataFrame:
+    """A batch that ran twice and the compaction leave each posting once."""
+    return commits.read(_committed(c).store).select(*BRONZE_COLUMNS)
+
+
+@job("sink_bronze_compacted", "SELECT CAST(1 AS BIGINT) AS parts, CAST(4 AS BIGINT) AS parts_before, "
+     f"count(*) AS rows FROM ({BRONZE_SQL})")
+def _(c: Context) -> DataFrame:
+    """Four batches in tiers of two are one part."""
+    store, before = _committed(c).store, c.kept["preview version"]
+    now = store.current()
+    return commits.read(store, now).agg(
+        F.lit(len(now.tables[commits.TABLE])).cast("bigint").alias("parts"),
+        F.lit(len(before.tables[commits.TABLE])).cast("bigint").alias("parts_before"),
+        F.count("*").alias("rows"),
+    )
+
+
 add("sink_stream_metrics", lambda c: c.metrics().groupBy("metric_name").agg(
     (F.count("*") >= 4).alias("one_per_batch")),
     "SELECT unnest(['kafka_ingestion_rate', 'consumer_lag', 'total_bronze_rows', "
@@ -817,10 +885,20 @@ def _(c: Context) -> DataFrame:
     return c.streamed("dedup", kept.select("user_id"))
 
 
-@job("stream_dedup_windowed", BRONZE_SQL)
+@job("stream_dedup_windowed", "SELECT job_id, count(DISTINCT coalesce(ingestion_timestamp, '')) "
+     "AS stamps, true AS within FROM postings WHERE trim(job_id) <> '' AND trim(title) <> '' "
+     "GROUP BY job_id")
 def _(c: Context) -> DataFrame:
-    """An id may pass again once it is forgotten; what has landed at all is the same."""
-    return c.bronze_table("windowed").select(*BRONZE_COLUMNS).distinct()
+    """An id may pass again once it is forgotten, but not more often than it has stamps: repeats
+    under one stamp, of which there are many, pass once.
+    """
+    valid = bronze.validate(bronze.parse(c.messages()))
+    stamp = F.coalesce("ingestion_timestamp", F.lit(""))
+    stamps = valid.groupBy("job_id").agg(F.count_distinct(stamp).alias("stamps"))
+    passed = c.bronze_table("windowed").groupBy("job_id").agg(F.count("*").alias("passed"))
+    return stamps.join(passed, "job_id", "left").select(
+        "job_id", "stamps", F.coalesce(F.col("passed").between(1, F.col("stamps")), F.lit(False)).alias("within")
+    )
 
 
 @job("stream_dedup_salted", BRONZE_SQL)
@@ -831,13 +909,12 @@ def _(c: Context) -> DataFrame:
 @job("stream_rate_limit", "SELECT event_id % 4 AS file, count(*) AS rows, 1 AS batches "
      "FROM events GROUP BY ALL")
 def _(c: Context) -> DataFrame:
-    """The events landed as four files and read one file per batch: each batch is one file."""
+    """The events land in four parts of many files; read at that pace, each batch is one part."""
     landed = fresh_folder(c.spark, "paced")
     rows = c.source("events").select("event_id")
     for number in range(4):
-        one = rows.filter(F.col("event_id") % 4 == number).repartition(1)
-        one.write.mode("append").parquet(landed)
-    paced = c.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        c.land(rows.filter(F.col("event_id") % 4 == number), landed)
+    paced = c.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(landed)
     # the clock of a batch is the same in all of its rows
     timed = paced.withColumn("batch", F.current_timestamp())
     return c.streamed("paced-out", timed).groupBy((F.col("event_id") % 4).alias("file")).agg(
@@ -845,12 +922,58 @@ def _(c: Context) -> DataFrame:
     )
 
 
+@job("stream_supervise", "SELECT 'strict' AS name, 'failed' AS state, CAST(NULL AS BIGINT) AS rows, "
+     "max(event_id) AS stopped_at FROM events UNION ALL "
+     "SELECT 'steady', 'stopped', count(*), NULL FROM events")
+def _(c: Context) -> DataFrame:
+    """One query reads all events and waits for more; another dies of the last event's id, and the
+    first is stopped.
+    """
+    last = c.source("events").agg(F.max("event_id")).first()[0]
+    steady = _triggered(c, _event_stream(c).select("event_id"), "steady", processingTime="1 second")
+    steady.processAllAvailable()
+    refused = F.when(F.col("event_id") == last, F.raise_error(F.concat(F.lit("refused:"), "event_id")).cast("bigint"))
+    strict = _event_stream(c).select(F.coalesce(refused, "event_id").alias("event_id"))
+    strict = _triggered(c, strict, "strict", availableNow=True)
+    found = states.supervise(c.spark, c.kept["states"], [steady, strict])
+    found = found.filter(F.col("name").isin("steady", "strict"))
+    stopped_at = F.nullif(F.regexp_extract("error", "refused:([0-9]+)", 1), F.lit("")).cast("bigint")
+    ended = F.col("state") == states.STOPPED
+    return found.select("name", "state", F.when(ended, F.col("rows")).alias("rows"), stopped_at.alias("stopped_at"))
+
+
+@job("stream_trigger", "SELECT 'finished' AS state, count(*) AS rows, count(*) AS landed FROM events "
+     "UNION ALL SELECT 'stopped', count(*), count(*) FROM events")
+def _(c: Context) -> DataFrame:
+    """The same events under both triggers: one takes what is there and ends, one waits for more."""
+    parts = []
+    for name, pace in (("once", {"availableNow": True}), ("paced", {"processingTime": "1 second"})):
+        out = fresh_folder(c.spark, name)
+        query = _triggered(c, _event_stream(c).select("event_id"), name, out, **pace)
+        if name == "once":
+            query.awaitTermination()
+        else:
+            query.processAllAvailable()
+            c.kept["states"].stop(query)
+        c.kept["states"].wait(query)
+        parts.append(c.spark.read.schema("event_id bigint").parquet(out).agg(F.lit(name).alias("name"), F.count("*").alias("landed")))
+    found = c.kept["states"].table(c.spark).join(parts[0].unionByName(parts[1]), "name")
+    return found.select("state", "rows", "landed")
+
+
+def _triggered(c: Context, rows: DataFrame, name: str, out: str | None = None, **pace):
+    c.once("states", lambda: states.watch(c.spark))
+    writer = rows.writeStream.format("parquet").option("path", out or fresh_folder(c.spark, name))
+    writer = writer.option("checkpointLocation", fresh_folder(c.spark, "checkpoint"))
+    return writer.queryName(name).trigger(**pace).start()
+
+
 @job("stream_checkpoint", BRONZE_SQL)
 def _(c: Context) -> DataFrame:
     """A second run on the same checkpoint finds nothing new and adds nothing."""
     path, checkpoint = fresh_folder(c.spark, "bronze"), fresh_folder(c.spark, "checkpoint")
     for _ in range(2):
-        stream = bronze.process(events.from_files(c.spark, c.landed_messages(), 1))
+        stream = bronze.process(events.from_files(c.spark, c.landed_messages(), FILES))
         bronze.start(stream, path, checkpoint, trigger=None, name="restarted").awaitTermination()
     return lake.read_bronze(c.spark, path).select(*BRONZE_COLUMNS)
 
@@ -880,9 +1003,10 @@ def _(c: Context) -> DataFrame:
     source, out = fresh_folder(c.spark, "late"), fresh_folder(c.spark, "late-out")
     checkpoint = fresh_folder(c.spark, "checkpoint")
     events_table = c.source("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    halves = events_table.withColumn(
-        "half", F.ntile(2).over(Window.orderBy(F.col("ts"), F.col("event_id")))
-    )
+    # exact ranks without gathering the table in one task; the older half has the odd one
+    ranked = dense_key(events_table, "place", [F.col("ts").asc_nulls_first(), F.col("event_id")])
+    n = events_table.count()
+    halves = ranked.withColumn("half", F.when(F.col("place") > n - n // 2, 2).otherwise(1)).drop("place")
     for half in (2, 1):
         rows = halves.filter(F.col("half") == half).drop("half")
         rows.write.mode("append").parquet(source)
@@ -1125,8 +1249,29 @@ for _name, _query in warehouse.QUERIES.items():
     add(_name, lambda c, query=_query: query(c.table), WAREHOUSE_SQL[_name])
 
 add("d01_ingest_rate", lambda c: dashboards.d01_ingest_rate(c.metrics()))
-add("d02_lag", lambda c: dashboards.d02_lag(c.metrics()).drop("recorded_at"),
-    "SELECT 'consumer_lag' AS metric_name, CAST(0 AS DOUBLE) AS value")
+EARLY = "2002-01-01 01:00:00"
+
+
+@job("d02_lag", "SELECT 'consumer_lag' AS metric_name, CAST(count(*) + (SELECT count(*) FROM orders "
+     f"WHERE o_orderkey % 500 = 0 AND o_orderdate >= TIMESTAMP '{EARLY}') AS DOUBLE) AS value "
+     f"FROM postings WHERE {STAMP} >= TIMESTAMP '{EARLY}'")
+def _(c: Context) -> DataFrame:
+    """Messages land while no query runs: the lag is what the last run has not read."""
+    source, series = fresh_folder(c.spark, "lagging"), fresh_folder(c.spark, "metrics")
+    early = F.col("timestamp") < F.lit(EARLY).cast("timestamp")
+    c.land(c.messages().filter(early), source)
+    recorder = metrics.record(c.spark, series, "lagging")
+    stream = bronze.process(events.from_files(c.spark, source))
+    query = bronze.start(stream, fresh_folder(c.spark, "bronze"), fresh_folder(c.spark, "checkpoint"), None, "lagging")
+    query.awaitTermination()
+    recorder.wait(query)
+    c.spark.streams.removeListener(recorder)
+    c.land(c.messages().filter(~early), source)
+    reports = c.spark.read.schema(schemas.REPORT).parquet(series)
+    lag = metrics.backlog(reports, c.spark.read.schema(schemas.ENVELOPE).parquet(source))
+    return dashboards.d02_lag(lag).drop("recorded_at")
+
+
 add("d03_bronze_rows", lambda c: dashboards.d03_bronze_rows(c.metrics()).drop("recorded_at"),
     "SELECT 'total_bronze_rows' AS metric_name, CAST(count(*) AS DOUBLE) AS value "
     f"FROM ({BRONZE_SQL})")

@@ -125,3 +125,4 @@ REPORT = _struct(
     "query_id string, run_id string, batch_id bigint, recorded_at timestamp, received bigint, "
     "rejected bigint, landed bigint, late bigint, input_rate double, lag double, duration_ms double"
 )
+QUERY_STATE = _struct("name string, state string, batches bigint, rows bigint, error string")

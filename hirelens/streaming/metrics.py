@@ -119,3 +119,14 @@ def series(reports: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     return series(spark.read.schema(schemas.REPORT).parquet(path))
+
+
+def backlog(reports: DataFrame, landed: DataFrame) -> DataFrame:
+    """The lag of a source that reports none: rows that have landed and no query has read yet."""
+    read_rows = reports.transform(batches).agg(F.coalesce(F.sum("received"), F.lit(0)).alias("read"), F.max("recorded_at").alias("recorded_at"))
+    waiting = landed.agg(F.count("*").alias("landed"))
+    return waiting.join(F.broadcast(read_rows)).select(
+        F.lit(dashboards.LAG).alias("metric_name"),
+        F.greatest(F.col("landed") - F.col("read"), F.lit(0)).cast("double").alias("value"),
+        "recorded_at",
+    )
