@@ -1,6 +1,7 @@
 """The committing sink, its preview and compaction, query states and the lag of a file source."""
 
 import pytest
+from helpers import plan_of
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -57,7 +58,8 @@ def test_parts_and_files_stay_few(sink, rows):
     files = commits.read(sink.store, parts=merged).inputFiles()
     assert len(files) <= 2 * len(merged)  # one a day
     one_day = commits.read(sink.store).filter("ingest_day = '01'")
-    assert one_day.count() == 65 and all("ingest_day=01" in f for f in one_day.inputFiles())
+    pruned = plan_of(one_day).split("PartitionFilters: [")[1].split("]")[0]
+    assert one_day.count() == 65 and "ingest_day" in pruned
 
 
 def test_empty_batches_publish_nothing(sink, rows):
