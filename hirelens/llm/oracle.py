@@ -6,6 +6,7 @@ They assume what the test tables have: distinct, non-null doc_ids.
 from __future__ import annotations
 
 from hirelens.llm import pii, quality_rules, secrets
+from hirelens.llm.spans import REACH
 
 _BLANK = r"[\x20\x09-\x0D]+"
 
@@ -82,33 +83,48 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGI
 FROM d LEFT JOIN cut USING (doc_id)"""
 
 
+def _ibans(enough: str) -> str:
+    """A CTE of IBANs: every place where one may begin, every end that leaves 1 modulo 97, the best of them."""
+    moved = "(code[5:] || code[1:4])"
+    # a letter counts as two digits
+    rest = f"""list_reduce(list_prepend(0::BIGINT, list_transform(range(1, length(code) + 1), lambda i: (CASE WHEN {moved}[i] >= 'A' THEN ascii({moved}[i]) + 945 ELSE {moved}[i]::INT END)::BIGINT)),
+      lambda r, x: CASE WHEN x >= 1000 THEN (r * 100 + x - 1000) % 97 ELSE (r * 10 + x) % 97 END)"""
+    known = " OR ".join(f"(length(code) = {n} AND code[1:2] IN ({', '.join(repr(c) for c in countries.split())}))" for n, countries in pii.IBAN_LENGTHS.items())
+    return f"""iban AS (
+  SELECT doc_id, t, 'iban' AS kind, s, e FROM (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM (
+    SELECT doc_id, t, s, arg_max(s + n, (CASE WHEN {known} THEN 1000 ELSE 0 END) + n) AS e FROM (
+      SELECT doc_id, t, i - 1 AS s, n, replace(whole[1:n], ' ', '') AS code, whole[n] AS final, substring(t, i + n, 1) AS behind FROM (
+        SELECT *, unnest(range(12, length(whole) + 1))::INT AS n FROM (
+          SELECT doc_id, t, i, regexp_extract(substring(t, i, 60), '^[A-Z][A-Z][0-9][0-9]( ?[A-Z0-9][A-Z0-9][A-Z0-9][A-Z0-9]){{2,7}}( ?[A-Z0-9][A-Z0-9]?[A-Z0-9]?)?') AS whole
+          FROM (SELECT *, unnest(range(1, length(t) + 1))::INT AS i FROM d WHERE regexp_matches(t, '[A-Z][A-Z][0-9][0-9]'))
+          WHERE regexp_matches(substring(t, i, 4), '^[A-Z][A-Z][0-9][0-9]$') AND (i = 1 OR NOT regexp_matches(substring(t, i - 1, 1), '[A-Za-z0-9]')))))
+    WHERE final <> ' ' AND NOT regexp_matches(behind, '[A-Za-z0-9]') AND length(code) BETWEEN 15 AND 34 AND {rest} = 1
+    GROUP BY ALL)) WHERE s >= coalesce(reached, 0) AND {enough})"""
+
+
 def _pii() -> str:
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]", "iban": pii.IBAN, "ssn": pii.SSN,
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]", "ssn": pii.SSN,
     }
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"
-    plain = "replace(m, ' ', '')"
     luhn = f"""list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substring(reverse({digits}), i, 1)::INT
       ELSE 2 * substring(reverse({digits}), i, 1)::INT - CASE WHEN substring(reverse({digits}), i, 1) > '4' THEN 9 ELSE 0 END END)) % 10 = 0"""
-    moved = f"({plain}[5:] || {plain}[1:4])"
-    mod97 = f"""list_reduce(list_prepend(0::BIGINT, list_transform(range(1, length({plain}) + 1), lambda i: (CASE WHEN {moved}[i] >= 'A' THEN ascii({moved}[i]) - 55 + 1000 ELSE {moved}[i]::INT END)::BIGINT)),
-      lambda r, x: CASE WHEN x >= 1000 THEN (r * 100 + x - 1000) % 97 ELSE (r * 10 + x) % 97 END) = 1"""
     apart = lambda c: f"(s = 0 OR NOT regexp_matches(substring(t, s, 1), '{c}')) AND NOT regexp_matches(substring(t, e + 1, 1), '{c}')"
 
     def scored(kind: str) -> str:
         alone, bonus, words = pii.SCORES[kind]
-        before = f"lower(substring(t, greatest(1, s + 1 - {pii.REACH}), least(s, {pii.REACH})))"
+        before = f"lower(substring(t, greatest(1, s + 1 - {REACH}), least(s, {REACH})))"
         return f"{alone} + CASE WHEN regexp_matches({before}, '{words}') THEN {bonus} ELSE 0 END >= {pii.THRESHOLD}"
 
     valid = {
         "email": "true", "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(right(x, 4) AS INT), 0) > 255)) = 0",
         "card": f"length({digits}) BETWEEN 13 AND 19 AND {luhn}", "phone": f"length({digits}) BETWEEN 9 AND 15",
-        "iban": f"{apart('[A-Za-z0-9]')} AND length({plain}) BETWEEN 15 AND 34 AND {mod97} AND {scored('iban')}",
         "ssn": f"{apart('[0-9-]')} AND NOT regexp_matches(m, '^(000|666|9)|-00-|0000$') AND {scored('ssn')}",
     }
-    ctes = ",\n".join(_matches(kind, pattern, "d") for kind, pattern in patterns.items())
-    every = "\n  UNION ALL ".join(f"SELECT doc_id, kind, {i} AS o, s, e FROM {kind} WHERE {valid[kind]}" for i, kind in enumerate(patterns))
+    order = {kind: i for i, kind in enumerate(pii.KINDS)}
+    ctes = ",\n".join([*(_matches(kind, pattern, "d") for kind, pattern in patterns.items()), _ibans(scored("iban"))])
+    every = "\n  UNION ALL ".join(f"SELECT doc_id, kind, {order[kind]} AS o, s, e FROM {kind} WHERE {valid.get(kind, 'true')}" for kind in order)
     counts = ", ".join(f"count(*) FILTER (kind = '{k}')::BIGINT AS n_{k}" for k in pii.BASE)
     listed = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY o, s) FILTER ({0}), '')".format
     return f"""
@@ -124,12 +140,18 @@ def _secrets() -> str:
     words = "|".join(either(w) for w in ("password", "passwd", "secret", "token")) + "|" + either("api") + "_?" + either("key")
     patterns = {
         "assign": rf"({words})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+",
-        "github": secrets.GITHUB, "slack": secrets.SLACK, "private_key": secrets.KEY,
+        "github": secrets.GITHUB, "slack": secrets.SLACK, "private_key": "-----BEGIN [A-Z ]*PRIVATE KEY-----",
     }
     apart = "(s = 0 OR NOT regexp_matches(substring(t, s, 1), '[A-Za-z0-9]'))"
     valid = {"assign": "length(v) >= 6", "access": "length(m) >= 20", "hex": "length(m) >= 24", "github": apart, "slack": apart, "private_key": "true"}
     ctes = ",\n".join(_matches(kind, pattern, "d", 2 if kind == "assign" else 0) for kind, pattern in patterns.items())
-    every = "\n  UNION ALL ".join(f"SELECT doc_id, kind, {i} AS o, s, e, v FROM {kind} WHERE {valid[kind]}" for i, kind in enumerate(patterns))
+    # a key is what stands between its header and the next five dashes, if those begin its footer
+    after, blank = "substring(t, e + 1)", r"'[\s\x0B]|\\[nr]', '', 'g'"
+    dashes = f"strpos({after}, '-----')"
+    ended = f"CASE WHEN substring({after}, {dashes}, 9) = '-----END ' AND {dashes} > 0 THEN substring({after}, 1, {dashes} - 1)"
+    ended += rf" ELSE regexp_extract({after}, '^(([\s\x0B]|\\[nr])*[A-Za-z0-9+/=]{{16,}})*') END"
+    value = {"private_key": f"coalesce(nullif(regexp_replace({ended}, {blank}), ''), m)"}
+    every = "\n  UNION ALL ".join(f"SELECT doc_id, kind, {i} AS o, s, e, {value.get(kind, 'v')} AS v FROM {kind} WHERE {valid[kind]}" for i, kind in enumerate(patterns))
     counts = ", ".join(f"count(*) FILTER (kind = '{k}')::BIGINT AS n_{k}" for k in secrets.BASE)
     listed = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER ({0}), '')".format
     return f"""

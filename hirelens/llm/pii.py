@@ -2,7 +2,8 @@
 
 All of it is built-in functions. Kinds email, ip, card and phone are the base; they stay whatever
 their score. iban (mod 97) and ssn are added when their score reaches ``THRESHOLD``: the score of a
-kind, plus a bonus if one of its context words stands within ``REACH`` code points before the span.
+kind, plus a bonus if one of its context words stands within ``REACH`` code points before the span. Every step is
+linear in the text, however many matches it has.
 
 Defined results: a null text is empty and has no spans. Repeated rows give equal results. Spans of
 different kinds may overlap; redaction then keeps the one that starts first (of equal starts, the
@@ -14,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.spans import SPAN, listed, quoted, spans
+from hirelens.llm.spans import CHUNK, SPAN, bound, listed, quoted, scan, spans
 
-REACH = 40
 THRESHOLD = 0.7
 
 # The base patterns. Possessive quantifiers and \G only spare backtracking; a match
@@ -26,14 +26,18 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
-# A match takes the first four characters only, so that no candidate hides another; what may follow is its group.
-IBAN_HEAD = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?))"
+# A match takes the first four characters only, so that no candidate hides another; its group is what
+# may follow and one character more.
+IBAN_REST = r"(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+IBAN_HEAD = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(" + IBAN_REST + r"[\s\S]?))"
 #: Characters of an IBAN by country.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
     24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
 }
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
+# The group is the character behind a match.
+SSN_AND_NEXT = SSN + r"(?=([\s\S]?))"
 
 #: kind: (score without context, bonus, context words in lower case)
 SCORES = {
@@ -64,33 +68,28 @@ def mod97(code: str) -> str:
         (r * 100 + ascii(substring({moved}, i, 1)) - 55) % 97, (r * 10 + cast(substring({moved}, i, 1) as int)) % 97)) = 1"""
 
 
-def apart(characters: str) -> str:
-    """A SQL condition: none of these characters stands next to the span x."""
-    return f"not (substring(__text, x.start, least(x.start, 1)) rlike '{characters}') and not (substring(__text, x.end + 1, 1) rlike '{characters}')"
-
-
 def whole_ibans() -> str:
     """A SQL expression: the spans of ``__iban`` (heads and what may follow), each cut where an IBAN ends.
 
     Ends are tried before each blank and at the last character. The length of the country goes
     first, then the longest; a span that begins inside the one before it is left out.
     """
-    full = "concat(x.found, x.value)"
-    code = f"replace(substring({full}, 1, e), ' ', '')"
-    known = " or ".join(f"(length({code}) = {n} and array_contains(array({', '.join(map(repr, c.split()))}), substring(x.found, 1, 2)))" for n, c in IBAN_LENGTHS.items())
-    ends = f"""filter(sequence(12, length({full})), e -> not (substring(__text, x.start + e + 1, 1) rlike '[A-Za-z0-9]') and substring({full}, e, 1) <> ' '
+    code = "replace(substring(y.full, 1, e), ' ', '')"
+    known = " or ".join(f"(length({code}) = {n} and array_contains(array({', '.join(map(repr, c.split()))}), substring(y.full, 1, 2)))" for n, c in IBAN_LENGTHS.items())
+    ends = f"""filter(sequence(12, length(y.full)), e -> not (substring(y.seen, e + 1, 1) rlike '[A-Za-z0-9]') and substring(y.full, e, 1) <> ' '
         and length({code}) between 15 and 34 and {mod97(code)})"""
     best = f"array_max(transform({ends}, e -> named_struct('known', {known}, 'e', e))).e"
-    cut = f"""transform(filter(transform(__iban, x -> named_struct('x', x, 'n', {best})), y -> y.n is not null),
-        y -> named_struct('start', y.x.start, 'end', y.x.start + y.n, 'found', substring(__text, y.x.start + 1, y.n), 'value', substring(__text, y.x.start + 1, y.n)))"""
-    return f"aggregate({cut}, cast(array() as {SPAN}), (acc, x) -> if(size(acc) > 0 and x.start < element_at(acc, -1).end, acc, concat(acc, array(x))))"
+    full = f"named_struct('x', x, 'seen', concat(x.found, x.value), 'full', concat(x.found, regexp_extract(x.value, {quoted('^' + IBAN_REST)}, 0)))"
+    cut = f"filter(transform(transform(__iban, x -> {full}), y -> named_struct('x', y.x, 'full', y.full, 'n', {best})), y -> y.n is not null)"
+    spans_of = "named_struct('start', x.x.start, 'end', x.x.start + x.n, 'found', substring(x.full, 1, x.n), 'value', substring(x.full, 1, x.n), 'before', x.x.before)"
+    one = SPAN.removeprefix("array<").removesuffix(">")
+    return scan(cut, "0", one, "if(x.x.start < $, $, x.x.start + x.n)", f"if(x.x.start < $, cast(array() as {SPAN}), array({spans_of}))")
 
 
-def score(kind: str, text: str, span: str) -> str:
+def score(kind: str, span: str) -> str:
     """A SQL expression: the score of the span (a struct) of this kind."""
     alone, bonus, words = SCORES[kind]
-    before = f"lower(substring({text}, greatest(1, {span}.start + 1 - {REACH}), least({span}.start, {REACH})))"
-    return f"({alone}D + if({before} rlike {quoted(words)}, {bonus}D, 0D))"
+    return f"({alone}D + if(lower({span}.before) rlike {quoted(words)}, {bonus}D, 0D))"
 
 
 def detected(docs: DataFrame) -> DataFrame:
@@ -103,7 +102,7 @@ def detected(docs: DataFrame) -> DataFrame:
         "card": spans("__text", CARD, digit),
         "phone": spans("__text", PHONE, "contains(__text, '+')"),
         "iban": spans("__text", IBAN_HEAD, "__text rlike '[A-Z]{2}[0-9]{2}'", 1),
-        "ssn": spans("__text", SSN, "__text rlike '[0-9]-[0-9]{2}-[0-9]'"),
+        "ssn": spans("__text", SSN_AND_NEXT, "__text rlike '[0-9]-[0-9]{2}-[0-9]'", 1),
     }
     valid = {
         "email": "true",
@@ -111,13 +110,13 @@ def detected(docs: DataFrame) -> DataFrame:
         "card": f"length(regexp_replace(x.found, '[^0-9]', '')) between 13 and 19 and {luhn('regexp_replace(x.found, "[^0-9]", "")')}",
         "phone": "length(regexp_replace(x.found, '[^0-9]', '')) between 9 and 15",
         "iban": "true",
-        "ssn": f"{apart('[0-9-]')} and not (x.found rlike '^(000|666|9)|-00-|0000$')",
+        "ssn": "not (right(x.before, 1) rlike '[0-9-]') and not (x.value rlike '[0-9-]') and not (x.found rlike '^(000|666|9)|-00-|0000$')",
     }
     docs = docs.withColumns({f"__{kind}": column for kind, column in found.items()})
     docs = docs.withColumn("__iban", F.expr(whole_ibans()))
     confirmed = {}
     for kind in KINDS:
-        keep = valid[kind] if kind in BASE else f"({valid[kind]}) and {score(kind, '__text', 'x')} >= {THRESHOLD}D"
+        keep = valid[kind] if kind in BASE else f"({valid[kind]}) and {score(kind, 'x')} >= {THRESHOLD}D"
         confirmed[f"__{kind}"] = F.expr(f"filter(__{kind}, x -> {keep})")
     return docs.withColumns(confirmed)
 
@@ -134,7 +133,7 @@ def report(docs: DataFrame) -> DataFrame:
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, kind, start, end, found and score: one row for each span."""
     rows = detected(docs.select("doc_id", "text"))
-    all_of = [F.expr(f"transform(__{k}, x -> named_struct('kind', '{k}', 'start', x.start, 'end', x.end, 'found', x.found, 'score', {score(k, '__text', 'x')}))") for k in KINDS]
+    all_of = [F.expr(f"transform(__{k}, x -> named_struct('kind', '{k}', 'start', x.start, 'end', x.end, 'found', x.found, 'score', {score(k, 'x')}))") for k in KINDS]
     return rows.select("doc_id", F.inline(F.concat(*all_of)))
 
 
@@ -144,10 +143,17 @@ def redacted(docs: DataFrame) -> DataFrame:
     rows = detected(docs)
     every = ", ".join(f"transform(__{k}, x -> named_struct('start', x.start, 'rest', -x.end, 'end', x.end, 'kind', '[{k.upper()}]'))" for k in KINDS)
     rows = rows.withColumn("__all", F.expr(f"sort_array(concat({every}))"))
-    rebuilt = """aggregate(__all, named_struct('at', 0, 'out', ''), (acc, x) -> if(x.start < acc.at, acc,
-        named_struct('at', x.end, 'out', concat(acc.out, substring(__text, acc.at + 1, x.start - acc.at), x.kind))),
-        acc -> concat(acc.out, substring(__text, acc.at + 1)))"""
-    rows = rows.withColumn("text", F.expr(f"if(size(__all) = 0, text, {rebuilt})"))
+    one = "struct<start:int,rest:int,end:int,kind:string>"
+    kept = scan("__all", "0", one, "if(x.start < $, $, x.end)", f"if(x.start < $, cast(array() as array<{one}>), array(x))")
+    # a chunk of spans is cut out of the text once, and what stands before each of its spans out of that
+    chunks = f"transform(sequence(1, size(kept), {CHUNK}), i -> slice(kept, i, {CHUNK}))"
+    since = "if(i = 0, 0, element_at(element_at(chunks, if(i = 0, 1, i)), -1).end)"
+    last = "if(j = 0, since, element_at(c, if(j = 0, 1, j)).end)"
+    piece = f"concat(substring(part, {last} - since + 1, x.start - {last}), x.kind)"
+    part = "substring(__text, since + 1, element_at(c, -1).end - since)"
+    joined = bound(since, "since", bound(part, "part", f"array_join(transform(c, (x, j) -> {piece}), '')"))
+    rebuilt = f"concat(array_join(transform(chunks, (c, i) -> {joined}), ''), substring(__text, element_at(kept, -1).end + 1))"
+    rows = rows.withColumn("text", F.expr(f"if(size(__all) = 0, text, {bound(kept, 'kept', bound(chunks, 'chunks', rebuilt))})"))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(F.size("__all") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))

@@ -26,9 +26,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 GITHUB = r"gh[pousr]_[A-Za-z0-9]{36,}"
 SLACK = r"xox[abprs]-[A-Za-z0-9-]{10,}"
-KEY = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
 # What follows the header: all up to the footer, or the long base64 runs of a key without one.
-BODY = r"(?=([^-]*+(?:-(?!----)[^-]*+){0,64}+(?=-----END )|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+))"
+BODY = r"(?=([^-]*+(?:-(?!----)[^-]*+)*+(?=-----END )|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+))"
 
 BLANKS = r"\s|\\[nr]"
 
@@ -50,8 +50,8 @@ def detected(docs: DataFrame) -> DataFrame:
     }
     docs = docs.withColumns({f"__{kind}": column for kind, column in found.items()})
     body = f"regexp_replace(x.value, {quoted(BLANKS)}, '')"
-    docs = docs.withColumn("__private_key", F.expr(f"transform(__private_key, x -> named_struct('start', x.start, 'end', x.end, 'found', x.found, 'value', if({body} = '', x.found, {body})))"))
-    apart = "filter(__{0}, x -> not (substring(__text, x.start, least(x.start, 1)) rlike '[A-Za-z0-9]'))".format
+    docs = docs.withColumn("__private_key", F.expr(f"transform(__private_key, x -> named_struct('start', x.start, 'end', x.end, 'found', x.found, 'value', if({body} = '', x.found, {body}), 'before', x.before))"))
+    apart = "filter(__{0}, x -> not (right(x.before, 1) rlike '[A-Za-z0-9]'))".format
     return docs.withColumns({"__assign": F.expr("filter(__assign, x -> length(x.value) >= 6)"), **{f"__{kind}": F.expr(apart(kind)) for kind in ("github", "slack")}})
 
 
