@@ -9,8 +9,9 @@ Words are maximal runs without ASCII punctuation or blanks, lower-cased. Documen
 bitmap of the benchmark's hashes before the join; the bitmap's size is fixed, and a larger
 benchmark only lets more rows through to the join, which is exact.
 
-Runs of fewer than ``SHORT`` words (short items, or a small ``region``) have masks of their own: the
-run is cut into parts, two more than words may differ, and each mask keeps two parts whole.
+``MASKS`` meet every overlap of 13 words and more in which two words may differ. Runs of another
+length or with more differing words (short items, another ``region`` or ``agree``) have masks of their
+own: the run is cut into parts, two more than words may differ, and each mask keeps two parts whole.
 
 Defined results: null or empty texts on either side overlap with nothing. Items without an id are named
 null. Documents that repeat a doc_id are compared each on its own and reported under that id.
@@ -29,8 +30,13 @@ from hirelens.llm import tools
 
 #: Together they meet every 13 aligned words of which up to two are substituted; see the tests.
 MASKS = ("1111011", "10010001111")
-#: Shorter runs of words have masks of their own.
-SHORT = 13
+#: The words and substitutions that MASKS cover.
+COVERED, ALLOWED = 13, 2
+
+
+def masks_of(window: int, agree: int) -> tuple[str, ...]:
+    """Masks one of which at least meets only agreeing words in every overlap of ``window`` words."""
+    return MASKS if window >= COVERED and window * (100 - agree) // 100 <= ALLOWED else tuple(short_masks(window, agree))
 
 
 def short_masks(window: int, agree: int) -> list[str]:
@@ -67,7 +73,7 @@ def _item_seeds(items: DataFrame, region: int, agree: int) -> DataFrame:
                 if not len(words):
                     continue
                 window = min(region, len(words))
-                h, at = seeds(words, np.array([len(words)]), short_masks(window, agree) if window < SHORT else MASKS)
+                h, at = seeds(words, np.array([len(words)]), masks_of(window, agree))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tools.plain_long(h)), pa.array([item] * len(h), pa.int64()), pa.array(at), pa.array([window] * len(h), pa.int64())], ["seed", "item_id", "item_at", "item_window"]
                 )
@@ -123,8 +129,8 @@ def contaminated(docs: DataFrame, items: DataFrame, region: int = 13, agree: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"))
     item_seeds = tools.staged(_item_seeds(items, region, agree), "item-seeds")
-    short = sorted(r.item_window for r in item_seeds.filter(F.col("item_window") < SHORT).select("item_window").distinct().collect())
-    kinds = [MASKS, *(tuple(short_masks(window, agree)) for window in short)]
+    # at most ``region`` windows, so as many kinds of masks
+    kinds = sorted({masks_of(r.item_window, agree) for r in item_seeds.select("item_window").distinct().collect()})
     bits = tools.bitmap(item_seeds.select("seed"), 26, hashed=True)
     hits = _doc_seeds(docs, bits, kinds).join(item_seeds, "seed")
     hits = tools.staged(hits.select("doc_id", "text_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "hits")
