@@ -93,7 +93,8 @@ def named(turns: DataFrame, root: int, height: int) -> DataFrame:
             starts = starts.select("conv", F.shiftright("depth", j + 1).alias("block"), F.col("name").alias("above"))
             runs = runs.join(starts, ["conv", "block"], "left").withColumn("above", F.coalesce("above", F.lit(root)))
         prefix = ["block", "above", "x", "y"]
-        found = runs.groupBy(*prefix).agg(F.min("conv").alias("name"))
+        # written, so that a prefix of a third of all conversations can be split in the join below
+        found = tools.staged(runs.groupBy(*prefix).agg(F.min("conv").alias("name")), f"found-{j}")
         depth = F.shiftleft("block", j + 1) + size
         new = tools.staged(runs.join(found, prefix).select("conv", depth.alias("depth"), "name", "chars"), f"names-{j}")
         names = new if names is None else names.union(new)
