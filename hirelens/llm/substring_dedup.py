@@ -162,8 +162,8 @@ def compacted(found: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, k: int = 20) -> DataFrame:
     """Long spans to remove: doc, tie, place, windows and source (the coordinates they repeat). docs has doc, tie and text."""
-    shared = _fragments(docs, k, True).groupBy("gram").count().filter("count > 1").select("gram")
-    kept = tools.staged(_fragments(docs, k, False).join(shared.hint("shuffle_hash"), "gram"), "fragments")
+    shared = _fragments(docs, k, True).groupBy("gram").count().filter("count > 1")
+    kept = tools.staged(tools.of_shared_keys(_fragments(docs, k, False), shared, "gram", [*KEY, "place"]), "fragments")
     firsts = tools.staged(kept.groupBy("gram", "path").agg(F.min(_where()).alias("first"), F.min("shape").alias("shape")), "paths")
     late = kept.join(firsts.select("gram", "path", F.col("first").alias("source")), ["gram", "path"]).filter(_where() != F.col("source"))
     late = late.select(*KEY, "place", F.shiftright("shape", 16).cast("long").alias("windows"), "source")

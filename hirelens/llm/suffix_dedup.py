@@ -232,8 +232,8 @@ def _near(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame, length: int = 100) -> DataFrame:
     """Runs of window starts to remove: doc, tie, start, windows. docs has doc, tie and text."""
     found = _sliced(docs, length, False)
-    shared = _sliced(docs, length, True).groupBy("anchor").count().filter("count > 1").select("anchor")
-    kept = tools.staged(found.join(shared.hint("shuffle_hash"), "anchor"), "slices")
+    shared = _sliced(docs, length, True).groupBy("anchor").count().filter("count > 1")
+    kept = tools.staged(tools.of_shared_keys(found, shared, "anchor", [*KEY, "place"]), "slices")
     where = F.struct(*KEY, "place")
     firsts = kept.groupBy("anchor", "slice").agg(F.min(where).alias("first"), F.min("shape").alias("shape"))
     firsts = tools.staged(firsts, "firsts")

@@ -113,6 +113,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot when it holds more than one in HOT of the counted rows, so fewer than HOT keys are.
+HOT, SPREAD = 2000, 4096
+
+
+def of_shared_keys(found: DataFrame, counts: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+    """The rows of ``found`` whose key is in ``counts`` (key and count, one row a key).
+
+    Both are shuffled by the key but for the hot keys, of which there are fewer than HOT: these are
+    broadcast, and their rows are dealt out by ``spread_by``.
+    """
+    counts = staged(counts, "shared")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = counts.filter(F.col("count") > total / HOT).select(F.col(key), F.col(key).alias("__hot"))
+    marked = found.join(F.broadcast(hot), key, "left")
+    cold = F.col("__hot").isNull()
+    salt = F.when(cold, 0).otherwise(F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int") + 1)
+    marked = marked.withColumns({"__salt": salt, key: F.when(cold, F.col(key))})
+    shared = counts.select(F.col(key), F.lit(0).alias("__salt"), F.lit(True).alias("__shared"))
+    joined = marked.join(shared.hint("shuffle_hash"), [key, "__salt"], "left").filter("__shared or __hot is not null")
+    return joined.withColumn(key, F.coalesce("__hot", key)).select(*found.columns)
+
+
 def plain_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 

@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from hirelens.llm import html_extraction, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, sharding
 from hirelens.session import fresh_folder
 
@@ -350,3 +352,16 @@ def test_sql_of_secrets_on_private_keys(docs):
     found = in_spark(secrets.report(docs(*rows)))
     assert found == in_duckdb(rows, ORACLE_SQL["op9_secret_scan"])
     assert [(r["n_live"], r["n_example"]) for r in found[:6]] == [(1, 0)] * 3 + [(0, 1)] * 3
+
+
+def test_equal_rows_are_dealt_over_all_buckets(spark):
+    """20,000 equal rows without an id: every bucket stays near its size, and no row is lost."""
+    rows = spark.createDataFrame([(i, f"text {i}" * 20, {"a": i}) for i in range(200)], "doc_id long, text string, m map<string,int>")
+    equal = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "'the same text again and again' as text", "map('a', 1) as m")
+    done = sharding.shuffled(rows.union(equal), fresh_folder(spark, "shards"), 2, 64 << 10)
+    sizes = done.groupBy("__shard", "__bucket").agg(F.sum("__size").alias("size"), F.count("*").alias("n"))
+    assert sizes.agg(F.max("size")).first()[0] < 2 * (64 << 10)
+    assert done.count() == 20_200 and done.filter("m['a'] = 1 and doc_id is null").count() == 20_000
+    for shard in (0, 1):
+        slots = sorted(r.slot for r in done.filter(F.col("__shard") == shard).select("slot").collect())
+        assert slots == list(range(len(slots)))

@@ -110,13 +110,22 @@ def test_masks_meet_two_substitutions_in_thirteen():
         assert any(all(s + i not in gone for i in o) for n, o in offsets for s in range(13 - n + 1))
 
 
-def test_masks_meet_all_allowed_substitutions_in_items_of_any_length():
-    for length in range(1, 14):
-        masks = decontamination.short_masks(length, 80) if length < decontamination.SHORT else decontamination.MASKS
-        places = [{s + i for i, b in enumerate(m) if b == "1"} for m in masks for s in range(length - len(m) + 1)]
-        allowed = max(n for n in range(length) if 100 * (length - n) >= 80 * length)
-        for gone in itertools.combinations(range(length), allowed):
-            assert any(p.isdisjoint(gone) for p in places), (length, gone)
+@pytest.mark.parametrize("window, agree", [*((n, 80) for n in range(1, 21)), (13, 70), (13, 60), (15, 80), (17, 90), (16, 50), (30, 95)])
+def test_masks_meet_all_allowed_substitutions(window, agree):
+    masks = decontamination.masks_of(window, agree)
+    places = [{s + i for i, b in enumerate(m) if b == "1"} for m in masks for s in range(window - len(m) + 1)]
+    allowed = max(n for n in range(window) if 100 * (window - n) >= agree * window)
+    for gone in itertools.combinations(range(window), allowed):
+        assert any(p.isdisjoint(gone) for p in places), gone
+
+
+def test_decontamination_by_another_region(docs, spark):
+    """16 of 20 words agree, in a pattern that the masks of 13 words miss."""
+    item = [f"i{n}" for n in range(20)]
+    rows = [(k, " ".join(f"x{n}" if n in gone else w for n, w in enumerate(item))) for k, gone in enumerate([(3, 7, 11, 15), (3, 8, 11, 16), (4, 7, 10, 13), (2, 7, 12, 17), (1, 5, 9, 13, 17)])]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontamination.contaminated(docs(*rows), items, region=20, agree=80)
+    assert {r.doc_id: r.n_matched for r in found.collect()} == {0: 16, 1: 16, 2: 16, 3: 16}
 
 
 def test_decontamination_by_short_items(docs, spark):
@@ -224,3 +233,13 @@ def test_long_text_is_worked_off_in_pieces(docs, monkeypatch):
     rows = [(1, block + "".join(rng.choice("klm") for _ in range(900)) + block), (2, "z" * 30 + block[100:650])]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.deduplicated(docs(*rows)).collect()}
     assert [got[i] for i in (1, 2)] == brute_bytes(rows, 100)
+
+
+def test_rows_of_shared_keys(spark, monkeypatch):
+    """A hot key is broadcast and spread, the others meet in the shuffle; the rows are those of a plain join."""
+    monkeypatch.setattr(tools, "HOT", 10)
+    rows = [(0, i) for i in range(500)] + [(1 + i // 3, i) for i in range(60)] + [(1000 + i, i) for i in range(40)]
+    found = spark.createDataFrame(rows, "k long, x long")
+    kept = tools.of_shared_keys(found, found.groupBy("k").count().filter("count > 1"), "k", ["x"])
+    assert sorted(map(tuple, kept.collect())) == sorted(r for r in rows if r[0] < 1000) and kept.columns == ["k", "x"]
+    assert tools.of_shared_keys(found.limit(0), found.groupBy("k").count(), "k", ["x"]).count() == 0
