@@ -12,9 +12,12 @@ hold drop out unless they make up most of a document.
 Lists are worked off in rounds, and a pair is looked at only while its ends lie in different
 components. First each node meets one, then up to four of the nodes that lead its lists, those with
 the least of their own; large groups of copies are one component by then. The members of lists that
-still hold several components are compared in a last round, by inverted lists of their full sets: a set is listed under its rarest shingles, one more than it may miss, and a pair
-counts only where enough shingles are left behind the shared one. What a document has for itself
-fills its first places, so strays of a large family meet few others, and no link is left out.
+still hold several components are compared in a last round, by inverted lists of their full sets: a
+set is listed under its rarest shingles, one more than it may miss, and a pair counts only where enough
+shingles are left behind the shared one and their parity maps allow it. A parity map has a bit for each
+of ``PARITY`` classes of shingles, flipped by every shingle of its class, so two maps differ in no more
+bits than the sets in shingles: versions of a text that are too far apart never become a row, and no
+link is left out.
 
 Defined results: a null or wordless text has an empty set, no links, and is kept. Equal texts are
 always linked. Rows that repeat a doc_id stay rows of their own; a null doc_id is never smaller
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from hirelens.llm import tools
 
 COUNTERS = 1 << 18
+PARITY = 2048
 #: Stands for a null doc_id where rows are looked up by it.
 NO_ID = -(2**63)
 
@@ -51,6 +55,12 @@ def node_of(shingle_set: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingle_set.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity(shingle_set: np.ndarray) -> np.ndarray:
+    """The parity map of a set, as longs."""
+    flips = np.bincount((shingle_set >> np.uint64(32)) & np.uint64(PARITY - 1), minlength=PARITY) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def needed(k: int, num: int, den: int, miss: float = 1e-9) -> int:
     """The largest s that Binomial(k, num/den) falls short of with a probability of ``miss`` at most."""
     p, below = num / den, 0.0
@@ -184,10 +194,18 @@ def _rest(docs: DataFrame, nodes: DataFrame, postings: DataFrame, parts: DataFra
     listed = texts.select("node", "part", "text").mapInArrow(run, "value long, node long, part long, n long, at long")
     sizes = listed.groupBy("value", "part").count().groupBy("value").agg(F.max_by("part", F.struct("count", "part")).alias("major"), F.count("*").alias("parts"))
     listed = tools.staged(listed.join(sizes.filter("parts > 1").drop("parts"), "value"), "lists")
+
+    def maps(batches):
+        for batch in batches:
+            rows = [parity(s) for _, s in shingle_sets(batch["text"].to_pylist(), size)]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(rows, pa.list_(pa.int64()))], ["node", "map"])
+
+    listed = tools.staged(listed.join(texts.select("node", "text").mapInArrow(maps, "node long, map array<long>"), "node"), "mapped")
+    apart = "aggregate(zip_with(map, map_a, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
     # members of a list's largest component are not compared with each other
-    minor = listed.filter("part <> major").select("value", F.col("node").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))
+    minor = listed.filter("part <> major").select("value", F.col("node").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("map").alias("map_a"))
     pairs = minor.join(listed, "value").filter(
-        F.expr(f"part <> part_a and (part = major or part_a < part) and {den} * least(n, n_a) >= {num} * greatest(n, n_a) and {num + den} * least(n - at, n_a - at_a) >= {num} * (n + n_a)")
+        F.expr(f"part <> part_a and (part = major or part_a < part) and {den} * least(n, n_a) >= {num} * greatest(n, n_a) and {num + den} * least(n - at, n_a - at_a) >= {num} * (n + n_a) and {num + den} * {apart} <= {den - num} * (n + n_a)")
     )
     pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     return _confirmed(pairs, texts.select("node", "text"), size, num, den)

@@ -191,16 +191,42 @@ def summed(rows: DataFrame, terms, size: int) -> np.ndarray:
     return sum((np.frombuffer(r.total) for r in parts.mapInArrow(group, "total binary").collect()), np.zeros(size))
 
 
+#: Edges that one task joins in its memory; more are first made fewer by star steps.
+IN_ONE_TASK = 1 << 20
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of all nodes of the edges (a, b) that one task reads."""
+    edges = [np.empty((0, 2), np.int64), *(np.column_stack([batch["a"].to_numpy(), batch["b"].to_numpy()]) for batch in batches)]
+    nodes, place = np.unique(np.concatenate(edges), return_inverse=True)
+    a, b = place.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while len(a):  # each root takes the smallest root it is linked with; all then look up their root's root
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "component"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
 
-    Alternating large-star and small-star steps. Every step is two aggregations and joins over the
-    edges; the edges of a step are a written table, so a lost executor repeats one step at most.
+    Alternating large-star and small-star steps, until the edges no longer change or are few enough
+    for one task. Every step is two aggregations and joins over the edges; the edges of a step are a
+    written table, so a lost executor repeats one step at most.
     """
     spark = edges.sparkSession
     edges = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:
+        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 1))")).first()
+        if now[0] <= IN_ONE_TASK:
+            return staged(edges.coalesce(1).mapInArrow(_forest, "node long, component long"), "components")
+        if now == before:
+            break
+        before = now
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
@@ -209,10 +235,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(lowest, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.union(lowest.select("a", F.col("low").alias("b"))).filter("a <> b").distinct()
         edges = staged(small, "edges")
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 1))")).first()
-        if now == before:
-            break
-        before = now
     return spark.createDataFrame([], "node long, component long").union(
         edges.select("a", "b").union(edges.select(F.col("b"), F.col("b"))).distinct()
     )

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,30 @@ def test_components(docs, size, num, den):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_parity_maps_never_exceed_the_difference():
+    rng = random.Random(9)
+    for _ in range(200):
+        common, one, two = ([rng.getrandbits(64) for _ in range(rng.randrange(1, 300))] for _ in range(3))
+        a, b = (np.unique(np.array(x, np.uint64)) for x in (common + one, common + two))
+        bits = np.bitwise_count(near_duplicates.parity(a) ^ near_duplicates.parity(b)).sum()
+        assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_a_large_family_makes_few_pairs(docs, monkeypatch):
+    """Versions of one text, most of them too far apart: the last round compares few of all pairs."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in base) for share in [rng.choice([0.01, 0.03, 0.06, 0.1]) for _ in range(240)]]
+    rows = list(enumerate(texts))
+    pairs = []
+    real = near_duplicates._confirmed
+    monkeypatch.setattr(near_duplicates, "_confirmed", lambda found, *rest: (pairs.append(found.count()), real(found, *rest))[1])
+    found = near_duplicates.near_duplicates(docs(*rows))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str)
+    assert got == brute_components(rows, 5, 80, 100)
+    assert sum(pairs) < 240 * 239 // 2 // 5
+
+
 def test_keep_one_keeps_columns_and_unrelated_rows(docs):
     rows = docs((1, "a b c d e f g h"), (2, "a b c d e f g h"), (2, "quite another text with this id"), (3, None), (None, ""))
     kept = near_duplicates.keep_one(rows, 3, 85, 100)
@@ -93,7 +118,10 @@ def test_no_documents(docs, spark):
     assert suffix_dedup.deduplicated(empty).count() == 0
 
 
-def test_component_labels(spark):
+@pytest.mark.parametrize("in_one_task", [tools.IN_ONE_TASK, 0])
+def test_component_labels(spark, monkeypatch, in_one_task):
+    monkeypatch.setattr(tools, "IN_ONE_TASK", in_one_task)
+    assert tools.components(spark.createDataFrame([], "a long, b long")).count() == 0
     rng = random.Random(5)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
     label = {x: x for e in edges for x in e}
