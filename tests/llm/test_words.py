@@ -69,7 +69,7 @@ def test_parity_maps_never_exceed_the_difference():
     for _ in range(200):
         common, one, two = ([rng.getrandbits(64) for _ in range(rng.randrange(1, 300))] for _ in range(3))
         a, b = (np.unique(np.array(x, np.uint64)) for x in (common + one, common + two))
-        bits = np.bitwise_count(near_duplicates.parity(a) ^ near_duplicates.parity(b)).sum()
+        bits = np.bitwise_count((near_duplicates.parity(a) ^ near_duplicates.parity(b)).view(np.uint64)).sum()
         assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
 
 
