@@ -365,3 +365,72 @@ def test_equal_rows_are_dealt_over_all_buckets(spark):
     for shard in (0, 1):
         slots = sorted(r.slot for r in done.filter(F.col("__shard") == shard).select("slot").collect())
         assert slots == list(range(len(slots)))
+
+
+# --- pages with known articles ------------------------------------------------------------------
+
+
+def made_page(rng):
+    """(html, main text): an article among menus, notices, side columns and comments, under class names of many kinds."""
+    words = "stone river under quiet market north candle almost window seven garden between letter".split()
+
+    def sentence(low, high):
+        return " ".join(rng.choices(words, k=rng.randint(low, high))).capitalize() + "."
+
+    def links(n):
+        return "<ul>" + "".join(f'<li><a href="/{i}">{rng.choice(words)} {rng.choice(words)}</a></li>' for i in range(n)) + "</ul>"
+
+    kept = [sentence(16, 50) for _ in range(rng.randint(2, 6))]
+    inner = "".join(f"<p>{t.replace(' ', rng.choice([' ', '  ', chr(10), ' <b>', ' <i>']), 1)}" + rng.choice(["</p>", ""]) for t in kept)
+    state = rng.choice(["has-sidebar", "with-sidebar no-comments", "page-template", "is-search home", "single"])
+    around = rng.choice(['<article class="post post-share">{}</article>', '<main id="content">{}</main>', '<div class="entry-content with-share">{}</div>', '<div class="content"><section>{}</section></div>', "<article>{}</article>"])
+    before = f'<header class="site-header"><a href="/">Home</a></header><nav>{links(5)}</nav>' + rng.choice(["", f'<div class="cookie-notice"><p>{sentence(20, 30)}</p></div>', f'<div id="top-banner">{sentence(12, 25)}</div>'])
+    after = rng.choice(
+        [f'<div class="widget sidebar">{links(6)}<p>{sentence(15, 30)}</p></div>', f'<section class="article-comments"><p>{sentence(20, 60)}</p><p>{sentence(20, 60)}</p></section>', f"<aside><p>{sentence(25, 40)}</p></aside>", f'<div class="related_posts related">{links(4)}</div>']
+    )
+    page = f'<html><head><title>x</title></head><body class="{state}">{before}{around.format(inner)}{after}<svg><svg></svg>icon</svg><footer><p>{sentence(20, 40)}</p></footer></body></html>'
+    return page, " ".join(kept)
+
+
+def test_articles_of_made_pages():
+    rng, tree = random.Random(21), html_extraction.trained()
+    for _ in range(300):
+        page, expected = made_page(rng)
+        assert html_extraction.main_text(page, tree) == expected, page
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<body class="has-sidebar"><p>A plain paragraph of quite a few words, long enough to stand by itself on any page.</p></body>', "A plain paragraph of quite a few words, long enough to stand by itself on any page."),
+        ('<article class="post post-share"><p>Short one.</p></article>', "Short one."),
+        ('<article><p>The first one <a href="/x">goes on</p><p>The text after an open link.</p></article>', "The first one goes on The text after an open link."),
+        ("<article><svg><svg></svg>icon</svg><template><template>a</template>b</template><p>Text.</p></article>", "Text."),
+        ("<article><p>One.</p><select><option>Two.<p>Three.</p></article>", "One. Two. Three."),
+        ("<article><p>One.</p><button>Press <button>again</button></button><p>Two.</p></article>", "One. Two."),
+        ('<article><div class="article-comments"><p>I liked it.</p></div><p>Body.</p></article>', "Body."),
+    ],
+)
+def test_what_names_and_open_tags_do(page, text):
+    assert html_extraction.main_text(page, html_extraction.trained()) == text
+
+
+def test_neighbours_take_part_in_the_tree():
+    def used(tree):
+        return set() if isinstance(tree, bool) else {html_extraction.FEATURES[tree[0]]} | used(tree[2]) | used(tree[3])
+
+    assert {"density_before", "density_after"} & used(html_extraction.trained())
+
+
+@pytest.mark.parametrize("piece", ["<td>x</font2>", "<button>x", "<a href=x><svg>", "</p>", '<p title="', "<object>"])
+def test_long_malformed_pages_take_linear_time(piece):
+    import time
+
+    began = time.monotonic()
+    html_extraction.main_text(piece * 40_000, html_extraction.trained())
+    assert time.monotonic() - began < 10
+
+
+def test_no_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text string")
+    assert html_extraction.extracted(pages).collect() == []
