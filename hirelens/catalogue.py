@@ -21,7 +21,7 @@ from hirelens import schemas
 from hirelens.functions import aggregates as A
 from hirelens.functions import dates, location, rules, salary
 from hirelens.operators import insert, topk, wildcard
-from hirelens.plans import dashboards, estimator, gold, mart, medallion, salary_model, silver
+from hirelens.plans import dashboards, estimator, forest_table, gold, mart, medallion, salary_model, silver
 from hirelens.plans import upkeep, warehouse
 from hirelens.session import fresh_folder
 from hirelens.sources import driver_tables, events, lake, postings_csv
@@ -157,6 +157,12 @@ class Context:
 
         return salary_model.load(self.once("model", train))
 
+    def scored_by_table(self, prepared: DataFrame, key: str = "job_id") -> DataFrame:
+        """Scores of the loaded model, and of its trees read as a table, side by side."""
+        model = self.model()
+        forest = forest_table.nodes(self.spark, self.kept["model"])
+        return forest_table.scored(model.transform(prepared), forest, salary_model.DEPTH, key)
+
     def predictions(self) -> DataFrame:
         def predict() -> str:
             path = fresh_folder(self.spark, "predictions")
@@ -261,9 +267,24 @@ def _requests(c: Context) -> DataFrame:
     )
 
 
-@job("src_model")
+@job("src_model", "SELECT job_id, true AS agrees FROM features WHERE label > 0")
 def _(c: Context) -> DataFrame:
-    return c.model().transform(salary_model.prepare(c.silver())).select("job_id", "prediction")
+    """The loaded model scores every posting as its trees do, read from their files as a table."""
+    rows = c.scored_by_table(salary_model.prepare(c.silver()))
+    return rows.select("job_id", forest_table.agrees("prediction", "table_prediction").alias("agrees"))
+
+
+@job("sink_model", "SELECT job_id, true AS agrees FROM features WHERE label > 0")
+def _(c: Context) -> DataFrame:
+    """A model scores the same before it is saved and after it is loaded."""
+    prepared = salary_model.prepare(c.silver())
+    fitted = salary_model.fit(salary_model.split(prepared)[0], trees=5, depth=5)
+    path = fresh_folder(c.spark, "model")
+    salary_model.save(fitted, path)
+    before = fitted.transform(prepared).select("job_id", F.col("prediction").alias("before"))
+    after = salary_model.load(path).transform(prepared).select("job_id", "prediction")
+    both = before.join(after, "job_id")
+    return both.select("job_id", forest_table.agrees("before", "prediction").alias("agrees"))
 
 
 @job("src_temp_views", "SELECT role_category, count(*) AS jobs FROM silver GROUP BY ALL")
@@ -336,16 +357,18 @@ def _(c: Context) -> DataFrame:
     return stored.agg(F.count("*").alias("predictions"))
 
 
-@job("sink_model_metrics")
+@job("sink_model_metrics", "SELECT 'RandomForestRegressor' AS model_type, "
+     f"CAST({salary_model.TREES} AS BIGINT) AS num_trees, CAST({salary_model.DEPTH} AS BIGINT) AS max_depth, "
+     "count(*) AS test_records, true AS r2_score, true AS rmse_usd, true AS mae_usd FROM features "
+     "WHERE label > 0 AND NOT substr(md5(job_id), 1, 4) < 'cccd'")
 def _(c: Context) -> DataFrame:
+    """The stored report, its figures compared with those of the trees as a table."""
     path = fresh_folder(c.spark, "model-metrics")
     salary_model.save_metrics(_evaluation(c), path)
-    return c.spark.read.json(path)
-
-
-add("sink_bronze_stream", lambda c: c.bronze_table().groupBy("has_salary_info").agg(
-    F.count("*").alias("rows")),
-    f"SELECT has_salary_info, count(*) AS rows FROM ({BRONZE_SQL}) GROUP BY ALL")
+    other = _table_evaluation(c)
+    stored = c.spark.read.json(path)
+    close = {n: F.abs(F.col(n) - F.lit(other[n])) <= 0.01 for n in ("r2_score", "rmse_usd", "mae_usd")}
+    return stored.select("model_type", "num_trees", "max_depth", "test_records", *(v.alias(n) for n, v in close.items()))
 
 
 class Unlucky(commits.CommittedSink):
@@ -1248,7 +1271,9 @@ WAREHOUSE_SQL = {
 for _name, _query in warehouse.QUERIES.items():
     add(_name, lambda c, query=_query: query(c.table), WAREHOUSE_SQL[_name])
 
-add("d01_ingest_rate", lambda c: dashboards.d01_ingest_rate(c.metrics()))
+add("d01_ingest_rate", lambda c: dashboards.d01_ingest_rate(c.metrics()).select("metric_name",
+    F.col("value").between(0, 1e12).alias("a_rate")),
+    "SELECT 'kafka_ingestion_rate' AS metric_name, true AS a_rate")
 EARLY = "2002-01-01 01:00:00"
 
 
@@ -1275,7 +1300,22 @@ def _(c: Context) -> DataFrame:
 add("d03_bronze_rows", lambda c: dashboards.d03_bronze_rows(c.metrics()).drop("recorded_at"),
     "SELECT 'total_bronze_rows' AS metric_name, CAST(count(*) AS DOUBLE) AS value "
     f"FROM ({BRONZE_SQL})")
-add("d04_batch_duration", lambda c: dashboards.d04_batch_duration(c.metrics()))
+
+
+@job("d04_batch_duration", "SELECT true AS one_per_batch, true AS all_positive, true AS within_the_run")
+def _(c: Context) -> DataFrame:
+    """Every batch has a duration, and together they fit between the first report and the last."""
+    shown = dashboards.d04_batch_duration(c.metrics())
+    batches = c.metrics().filter(F.col("metric_name") == dashboards.BRONZE_ROWS).count()
+    span = F.unix_millis(F.max("recorded_at")) - F.unix_millis(F.min("recorded_at"))
+    return shown.agg(
+        (F.count("*") == batches).alias("one_per_batch"),
+        F.bool_and(F.col("batch_duration_ms") > 0).alias("all_positive"),
+        # reports carry the start of their batch, so all durations but the last lie between them
+        (F.sum("batch_duration_ms") - F.max_by("batch_duration_ms", "recorded_at") <= span + 1000).alias("within_the_run"),
+    )
+
+
 add("d05_failed", lambda c: dashboards.d05_failed(c.metrics()).drop("recorded_at"),
     "SELECT 'failed_records' AS metric_name, CAST(count(*) + (SELECT count(*) FROM orders "
     "WHERE o_orderkey % 500 = 0) AS DOUBLE) AS value FROM postings "
@@ -1308,7 +1348,20 @@ PANELS = {
 for _name, (_panel, _sql) in PANELS.items():
     add(_name, lambda c, panel=_panel: panel(c.mart(), CHOICES), _sql)
 
-add("d33_recent_predictions", lambda c: dashboards.d33_recent_predictions(c.predictions()))
+
+
+@job("d33_recent_predictions", "SELECT job_id AS prediction_id, role_category, experience_level, "
+     "city_normalized AS city, is_remote FROM silver ORDER BY job_id LIMIT 20")
+def _(c: Context) -> DataFrame:
+    """All predictions of a batch have one time, so the newest are those with the lowest ids."""
+    predictions = c.predictions()
+    shown = dashboards.d33_recent_predictions(predictions)
+    columns = [n for n in shown.columns if n != "prediction_timestamp"]
+    newest = topk.top(predictions, 20, [F.col("prediction_timestamp").desc(), F.col("prediction_id")])
+    found = newest.join(shown.select(*columns).distinct(), columns, "left_semi")
+    return found.select("prediction_id", "role_category", "experience_level", "city", "is_remote")
+
+
 
 # --- machine learning -------------------------------------------------------------------------
 
@@ -1322,6 +1375,16 @@ def _evaluation(c: Context) -> DataFrame:
     return salary_model.evaluate(c.model().transform(test_rows))
 
 
+def _table_evaluation(c: Context) -> dict[str, float]:
+    """RMSE, R2 and MAE of the scores by the trees as a table, by SQL."""
+    _, test_rows = salary_model.split(_prepared(c))
+    scored = c.scored_by_table(test_rows).select("label", F.col("table_prediction").alias("p"))
+    return c.spark.sql(
+        "SELECT sqrt(avg(pow(label - p, 2))) AS rmse_usd, avg(abs(label - p)) AS mae_usd, "
+        "1 - sum(pow(label - p, 2)) / regr_syy(label, p) AS r2_score FROM {t}", t=scored
+    ).first().asDict()
+
+
 @job("ml_index", "SELECT job_id, CAST(place AS DOUBLE) AS role_category_idx FROM features "
      "JOIN (SELECT role_category, row_number() OVER (ORDER BY count(*) DESC, role_category) - 1 "
      "AS place FROM features WHERE label > 0 GROUP BY 1) USING (role_category) "
@@ -1382,12 +1445,56 @@ def _(c: Context) -> DataFrame:
     )
 
 
-add("ml_fit_rf", lambda c: c.model().transform(salary_model.split(_prepared(c))[1]).select(
-    "job_id", "label", "prediction"))
-add("ml_evaluate", _evaluation)
-add("ml_predict_single", lambda c: salary_model.score_requests(c.model(), _requests(c)).drop(
-    "prediction_timestamp"))
-add("ml_predict_batch", lambda c: c.predictions().drop("prediction_timestamp"))
+TEST_ROWS = "label > 0 AND NOT substr(md5(job_id), 1, 4) < 'cccd'"
+
+
+@job("ml_fit_rf", f"SELECT job_id, label, true AS agrees FROM features WHERE {TEST_ROWS}")
+def _(c: Context) -> DataFrame:
+    """The fitted forest's scores of the test postings equal those of its table of trees."""
+    rows = c.scored_by_table(salary_model.split(_prepared(c))[1])
+    return rows.select("job_id", "label", forest_table.agrees("prediction", "table_prediction").alias("agrees"))
+
+
+@job("ml_forest_table", f"SELECT CAST(range AS INTEGER) AS tree, true AS whole FROM range({salary_model.TREES})")
+def _(c: Context) -> DataFrame:
+    """Every tree has its root, every child its node, and no level beyond the depth."""
+    c.model()
+    forest = forest_table.nodes(c.spark, c.kept["model"])
+    inner = F.col("feature") != forest_table.LEAF
+    return forest.groupBy("tree").agg(
+        ((F.min("node") == 0) & (F.max("node") == F.count("*") - 1) & (F.count("*") == 2 * F.count_if(inner) + 1)
+         & (F.count("*") < 2 ** (salary_model.DEPTH + 1)) & F.bool_and(~inner | (F.col("left") == F.col("node") + 1))).alias("whole")
+    )
+
+
+@job("ml_evaluate", f"SELECT count(*) AS test_records, true AS rmse_usd, true AS r2_score, true AS mae_usd FROM features WHERE {TEST_ROWS}")
+def _(c: Context) -> DataFrame:
+    """The three figures against those of the trees as a table, by SQL."""
+    other = _table_evaluation(c)
+    close = [(F.abs(F.col(n) - F.lit(v)) <= 1e-6 * abs(v)).alias(n) for n, v in other.items()]
+    return _evaluation(c).select("test_records", *close)
+
+
+@job("ml_predict_single", "SELECT job_id AS prediction_id, role_category, experience_level, city_normalized AS city, "
+     "is_remote, len(list_filter(coalesce(skills, []), lambda s: trim(s) <> ''))::INT AS skills_count, true AS agrees FROM silver")
+def _(c: Context) -> DataFrame:
+    """Requests are scored as a batch with the same skills is, whatever their number."""
+    single = salary_model.score_requests(c.model(), _requests(c))
+    tags = F.filter(F.transform(F.coalesce("skills", F.array().cast("array<string>")), lambda s: F.lower(F.trim(s))), lambda s: s != "")
+    same = _requests(c).withColumns({"skills": tags, "employment_type": F.lit(salary_model.CATEGORIES["employment_type"])})
+    expected = c.scored_by_table(salary_model.prepare(same, require_label=False), "request_id").select(F.col("request_id").alias("prediction_id"), "table_prediction")
+    agrees = F.abs(F.col("predicted_annual_salary") - F.col("table_prediction")) <= 0.0051
+    return single.join(expected, "prediction_id").select(
+        "prediction_id", "role_category", "experience_level", "city", "is_remote", "skills_count", agrees.alias("agrees")
+    )
+
+
+@job("ml_predict_batch", "SELECT job_id AS prediction_id, true AS agrees FROM silver")
+def _(c: Context) -> DataFrame:
+    """The stored prediction of every posting is that of the trees as a table, rounded."""
+    expected = c.scored_by_table(salary_model.prepare(c.silver(), require_label=False))
+    both = c.predictions().join(expected.select(F.col("job_id").alias("prediction_id"), "table_prediction"), "prediction_id")
+    return both.select("prediction_id", (F.abs(F.col("predicted_annual_salary") - F.col("table_prediction")) <= 0.0051).alias("agrees"))
 
 
 @job("ml_predict_batch_rows", "SELECT job_id AS prediction_id, role_category, experience_level, "
