@@ -275,12 +275,14 @@ def q12_high_remote(t: Tables) -> DataFrame:
 
 
 def q13_top5_levels(t: Tables) -> DataFrame:
-    """One pass over the fact: its counts by company and role give the totals and the levels."""
+    """One pass over the fact: a company's counts by role, of which there are few, stay with its total."""
     counts = _fact(t).groupBy("company_key", "role_key").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("company_key").agg(F.sum("n").alias("n"))
-    leaders = top(sizes, 5, [F.col("n").desc(), F.col("company_key")]).select("company_key")
+    companies = counts.groupBy("company_key").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("role_key", "n")).alias("roles")
+    )
+    leaders = top(companies, 5, [F.col("total").desc(), F.col("company_key")])
     levels = (
-        _with_role(counts.join(F.broadcast(leaders), "company_key", "left_semi"), t)
+        _with_role(leaders.select("company_key", F.inline("roles")), t)
         .groupBy("company_key", "experience_level")
         .agg(F.sum("n").alias("total_jobs"))
     )
