@@ -22,12 +22,12 @@ from hirelens.functions import aggregates as A
 from hirelens.functions import dates, location, rules, salary
 from hirelens.operators import insert, topk, wildcard
 from hirelens.plans import dashboards, estimator, forest_table, gold, mart, medallion, salary_model, silver
-from hirelens.plans import upkeep, warehouse
+from hirelens.plans import sketches, upkeep, warehouse
 from hirelens.session import fresh_folder
 from hirelens.sources import driver_tables, events, lake, postings_csv
 from hirelens.sources.versions import Store
 from hirelens.operators.keys import dense_key
-from hirelens.streaming import bronze, commits, metrics, states
+from hirelens.streaming import bronze, commits, metric_store, metrics, states
 
 
 #: Files that land at a time; grows with the cluster, so that no task holds more than its share.
@@ -1349,6 +1349,46 @@ for _name, (_panel, _sql) in PANELS.items():
     add(_name, lambda c, panel=_panel: panel(c.mart(), CHOICES), _sql)
 
 
+CUBE = "role_category, city, is_remote"
+
+
+@job("d14_companies_sketched", f"SELECT {CUBE}, count(DISTINCT company_name) AS companies, true AS within "
+     f"FROM mart GROUP BY CUBE ({CUBE})")
+def _(c: Context) -> DataFrame:
+    """Every choice of filters: the exact number, and whether the union of stored sketches is as near
+    as its error allows.
+    """
+    stored = lake.overwrite(sketches.sketched(c.mart()), fresh_folder(c.spark, "sketches"))
+    names = CUBE.split(", ")
+    place = F.grouping_id().alias("place")
+    exact = c.mart().cube(*names).agg(place, F.count_distinct("company_name").alias("companies"))
+    guess = stored.cube(*names).agg(place, sketches.merged().alias("estimate"))
+    same = [exact[n].eqNullSafe(guess[n]) for n in (*names, "place")]
+    near = F.abs(F.col("estimate") - F.col("companies")) <= F.greatest(F.lit(1.0), F.col("companies") * sketches.error())
+    return exact.join(guess, same, "left").select(*(exact[n] for n in names), "companies", F.coalesce(near, F.lit(False)).alias("within"))
+
+
+@job("sink_metric_store", "SELECT 'total_bronze_rows' AS metric_name, CAST(count(*) AS DOUBLE) AS total, "
+     f"true AS kept_in_few FROM ({BRONZE_SQL})")
+def _(c: Context) -> DataFrame:
+    """Two runs of one query into one store by tiers of two; the first days folded: the total stays."""
+    root, source = fresh_folder(c.spark, "metric-store"), c.landed_messages()
+    path, checkpoint = fresh_folder(c.spark, "bronze"), fresh_folder(c.spark, "checkpoint")
+    for _ in range(2):
+        recorder = metric_store.record(c.spark, root, "stored", fan=2)
+        stream = bronze.process(events.from_files(c.spark, source, FILES))
+        query = bronze.start(stream, path, checkpoint, trigger=None, name="stored")
+        query.awaitTermination()
+        recorder.wait(query)
+        c.spark.streams.removeListener(recorder)
+    store = metric_store.MetricStore(c.spark, root, 2)
+    reports = store.read().count()
+    files = len(store.read().inputFiles())
+    store.fold_before("2100-01-01")
+    few = files <= reports.bit_length() and store.read().count() == 1
+    found = metric_store.series(c.spark, root).filter(F.col("metric_name") == dashboards.BRONZE_ROWS)
+    return found.groupBy("metric_name").agg(F.max("value").alias("total")).withColumn("kept_in_few", F.lit(few))
+
 
 @job("d33_recent_predictions", "SELECT job_id AS prediction_id, role_category, experience_level, "
      "city_normalized AS city, is_remote FROM silver ORDER BY job_id LIMIT 20")
