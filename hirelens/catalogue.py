@@ -1475,6 +1475,27 @@ add("ml_assemble", lambda c: _described(_features(c), "job_id"),
 add("ml_pipeline", lambda c: _described(_features(c), "job_id", "label"), VECTORS)
 
 
+FEW_SLOTS = 16
+SLOTTED = ", ".join(
+    f"'#' || CAST(('0x' || substr(md5({name}), 1, 8))::BIGINT % {FEW_SLOTS} AS VARCHAR) AS {name}"
+    for name in salary_model.WIDE
+)
+SLOTTED_FEATURES = f"(SELECT * REPLACE ({SLOTTED}) FROM features)"
+
+
+@job("ml_index_slotted", f"SELECT job_id, {', '.join(salary_model.WIDE)}, label FROM {SLOTTED_FEATURES} WHERE label > 0")
+def _(c: Context) -> DataFrame:
+    return salary_model.slotted(_prepared(c), FEW_SLOTS).select("job_id", *salary_model.WIDE, "label")
+
+
+@job("ml_assemble_slotted", "SELECT job_id, width, non_zero, numbers FROM "
+     f"({VECTORS.replace('FROM features', f'FROM {SLOTTED_FEATURES}')})")
+def _(c: Context) -> DataFrame:
+    """Vectors whose width the slots bound, not the cities and skills."""
+    prepared = salary_model.slotted(_prepared(c), FEW_SLOTS)
+    return _described(salary_model.pipeline().fit(prepared).transform(prepared), "job_id")
+
+
 @job("ml_split", "SELECT job_id, substr(md5(job_id), 1, 4) < 'cccd' AS training FROM features "
      "WHERE label > 0")
 def _(c: Context) -> DataFrame:

@@ -23,6 +23,8 @@ CATEGORIES = {
 }
 NUMBERS = ("is_remote_double", "skills_count_double")
 TREES, DEPTH, SEED, TRAIN_SHARE = 50, 10, 42, 0.8
+#: Categories that may have any number of values, and the slots they share if hashed.
+WIDE, SLOTS = ("city_normalized", "primary_skill"), 1024
 BATCH_CONFIDENCE = 0.88
 REQUEST_CONFIDENCE = {"start": 0.85, "per_skill": 0.02, "limit": 0.96}
 
@@ -58,6 +60,20 @@ def prepare(df: DataFrame, require_label: bool = True) -> DataFrame:
     )
 
 
+def slotted(prepared: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Wide categories by slot instead of by value, for training and scoring alike.
+
+    A value's slot is its hash, so the indexer keeps ``slots`` labels at most, however many cities or
+    skills there are, and a value unseen in training falls into a slot that others have trained.
+    """
+
+    def slot(name: str):
+        number = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("bigint") % slots
+        return F.concat(F.lit("#"), number.cast("string"))
+
+    return prepared.withColumns({name: slot(name) for name in WIDE})
+
+
 def stages() -> list:
     """Index, one-hot and assemble. A value unseen in training gets a slot of its own."""
     names = list(CATEGORIES)

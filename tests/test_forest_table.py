@@ -38,3 +38,17 @@ def test_a_tree_that_tests_nothing(spark, folder):
 def test_agreement_is_relative(spark):
     pairs = spark.createDataFrame([(1e6, 1e6 + 0.5), (1.0, 1.1), (None, 1.0), (2.0, 2.0)], "x double, y double")
     assert [r[0] for r in pairs.select(forest_table.agrees("x", "y")).collect()] == [True, False, False, True]
+
+
+def test_slots_bound_the_labels_of_wide_categories(spark):
+    """Ten thousand cities and skills: as many labels as slots, and unseen values find one."""
+    rows = spark.range(10_000).selectExpr(
+        "cast(id as string) AS job_id", "'Data Engineering' AS role_category", "'Senior' AS experience_level", "concat('city ', id) AS city_normalized",
+        "'full_time' AS employment_type", "array(concat('skill ', id)) AS skills", "false AS is_remote", "1 AS skills_count", "50000.0D + id AS annual_salary_usd",
+    )
+    prepared = salary_model.slotted(salary_model.prepare(rows), 64)
+    fitted = salary_model.pipeline().fit(prepared)
+    assert max(map(len, fitted.stages[0].labelsArray)) == 64
+    other = salary_model.slotted(salary_model.prepare(rows.withColumn("city_normalized", F.lit("never seen"))), 64)
+    features = fitted.transform(other).select("features").first().features
+    assert features.size <= 2 * 65 + 3 * 2 + 2 and features.numNonzeros() == 6
