@@ -953,13 +953,14 @@ def _(c: Context) -> DataFrame:
     first is stopped.
     """
     last = c.source("events").agg(F.max("event_id")).first()[0]
+    watcher = states.watch(c.spark)
     steady = _triggered(c, _event_stream(c).select("event_id"), "steady", processingTime="1 second")
     steady.processAllAvailable()
     refused = F.when(F.col("event_id") == last, F.raise_error(F.concat(F.lit("refused:"), "event_id")).cast("bigint"))
     strict = _event_stream(c).select(F.coalesce(refused, "event_id").alias("event_id"))
     strict = _triggered(c, strict, "strict", availableNow=True)
-    found = states.supervise(c.spark, c.kept["states"], [steady, strict])
-    found = found.filter(F.col("name").isin("steady", "strict"))
+    found = states.supervise(c.spark, watcher, [steady, strict])
+    c.spark.streams.removeListener(watcher)
     stopped_at = F.nullif(F.regexp_extract("error", "refused:([0-9]+)", 1), F.lit("")).cast("bigint")
     ended = F.col("state") == states.STOPPED
     return found.select("name", "state", F.when(ended, F.col("rows")).alias("rows"), stopped_at.alias("stopped_at"))
@@ -969,7 +970,7 @@ def _(c: Context) -> DataFrame:
      "UNION ALL SELECT 'stopped', count(*), count(*) FROM events")
 def _(c: Context) -> DataFrame:
     """The same events under both triggers: one takes what is there and ends, one waits for more."""
-    parts = []
+    parts, watcher = [], states.watch(c.spark)
     for name, pace in (("once", {"availableNow": True}), ("paced", {"processingTime": "1 second"})):
         out = fresh_folder(c.spark, name)
         query = _triggered(c, _event_stream(c).select("event_id"), name, out, **pace)
@@ -977,15 +978,15 @@ def _(c: Context) -> DataFrame:
             query.awaitTermination()
         else:
             query.processAllAvailable()
-            c.kept["states"].stop(query)
-        c.kept["states"].wait(query)
+            watcher.stop(query)
+        watcher.wait(query)
         parts.append(c.spark.read.schema("event_id bigint").parquet(out).agg(F.lit(name).alias("name"), F.count("*").alias("landed")))
-    found = c.kept["states"].table(c.spark).join(parts[0].unionByName(parts[1]), "name")
+    c.spark.streams.removeListener(watcher)
+    found = watcher.table(c.spark).join(parts[0].unionByName(parts[1]), "name")
     return found.select("state", "rows", "landed")
 
 
 def _triggered(c: Context, rows: DataFrame, name: str, out: str | None = None, **pace):
-    c.once("states", lambda: states.watch(c.spark))
     writer = rows.writeStream.format("parquet").option("path", out or fresh_folder(c.spark, name))
     writer = writer.option("checkpointLocation", fresh_folder(c.spark, "checkpoint"))
     return writer.queryName(name).trigger(**pace).start()
