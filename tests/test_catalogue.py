@@ -1,8 +1,20 @@
 """Helpers of the entries on rows of their own."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from hirelens import catalogue
 
 
+def test_a_checksum_passes_the_largest_bigint(spark):
+    rows = spark.range(5).withColumn("key", F.lit(2**62) + F.col("id"))
+    got = rows.agg(catalogue.contents("sum(key)").alias("c"), catalogue.contents("sum(id)").alias("small")).first()
+    assert got.c == (5 * 2**62 + 10) % 2**63 and got.small == 10
+    with pytest.raises(Exception, match="OVERFLOW"):
+        rows.agg(F.expr("sum(key)")).first()
+    assert rows.limit(0).agg(catalogue.contents("sum(key)").alias("c")).first().c is None
+
+
 def test_windowed_rows_come_whole(spark):
     table = spark.createDataFrame(
         [("1", "Acme", "u1", 2, True), ("1", "Acme", "u1", 2, True), ("2", None, None, 0, False), ("2", None, None, 0, False)],
