@@ -1,9 +1,10 @@
-"""Helpers of the entries on rows of their own."""
+"""Helpers of the entries on rows of their own, and session settings they rely on."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from hirelens import catalogue
+from hirelens.sources.versions import Store
 
 
 def test_a_checksum_passes_the_largest_bigint(spark):
@@ -23,3 +24,24 @@ def test_windowed_rows_come_whole(spark):
     valid = spark.createDataFrame([("1", "a"), ("1", "b"), ("1", "b"), ("2", None), ("2", None)], "job_id string, ingestion_timestamp string")
     got = sorted(map(tuple, catalogue.within_stamps(valid, table).collect()))
     assert got == [("1", "Acme", "u1", 2, True, 2, True), ("2", None, None, 0, False, 1, False)]
+
+
+def test_entries_leave_no_method_to_the_interpreter(spark, folder):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    catalogue.context(spark, folder("tables"))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_a_large_part_is_several_files(spark, folder):
+    store = Store(spark, folder("store"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        rows = spark.range(0, 60000, numPartitions=8).withColumn("text", F.md5(F.col("id").cast("string")))
+        draft = store.draft()
+        draft.replace("t", rows, F.lit(3), ["3"])
+        version = draft.publish()
+    finally:
+        spark.conf.unset(size)
+    table = store.read(version, "t", rows.schema)
+    assert table.count() == 60000 and len(table.inputFiles()) > 1
