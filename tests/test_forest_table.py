@@ -2,6 +2,7 @@
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
@@ -52,3 +53,20 @@ def test_slots_bound_the_labels_of_wide_categories(spark):
     other = salary_model.slotted(salary_model.prepare(rows.withColumn("city_normalized", F.lit("never seen"))), 64)
     features = fitted.transform(other).select("features").first().features
     assert features.size <= 2 * 65 + 3 * 2 + 2 and features.numNonzeros() == 6
+
+
+def test_a_walk_is_one_pass_over_the_rows(spark, capsys):
+    """No join and no row per tree and step: the plan has the walk, a sum by key and the join of the result."""
+    nodes = "tree int, node int, prediction double, feature int, threshold double, left_values array<double>, left int, right int"
+    forest = spark.createDataFrame(
+        [(0, 0, 0.0, 1, 0.5, None, 1, 2), (0, 1, 1.0, -1, None, None, -1, -1), (0, 2, 3.0, -1, None, None, -1, -1),
+         (7, 0, 0.0, 2, None, [0.0, 2.0], 1, 2), (7, 1, 10.0, -1, None, None, -1, -1), (7, 2, 20.0, -1, None, None, -1, -1)], nodes,
+    )
+    vectors = [("a", 0.0, 0.0), ("b", 1.0, 1.0), ("c", 0.5, 2.0), ("d", float("nan"), 3.0)]
+    rows = spark.createDataFrame([(k, Vectors.dense([9.0, x, y])) for k, x, y in vectors], ["id", "features"])
+    found = forest_table.scored(rows, forest, 4, "id")
+    assert {r.id: r.table_prediction for r in found.collect()} == {"a": 5.5, "b": 11.5, "c": 5.5, "d": 11.5}
+    capsys.readouterr()
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Join") <= 2 and "explode" not in plan
