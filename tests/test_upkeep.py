@@ -1,6 +1,7 @@
 """A lake kept up by increments against one built from everything."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirelens.operators import increment
 from hirelens.plans import medallion, upkeep
@@ -86,6 +87,60 @@ def test_an_increment_writes_the_buckets_it_touches(live, events):
     assert live.table("silver", second).filter("annual_salary_usd IS NOT NULL").count() == 1
 
 
+def test_an_increment_writes_its_own_rows_only(spark, events, folder):
+    """Renewing one posting of ten in a bucket does not write the other nine again."""
+    live = upkeep.LiveLake(spark, folder("live"), buckets=1)
+    first = live.apply(events(*(posting(str(i), 1, skills=["sql"]) for i in range(10))))
+    second = live.apply(events(posting("7", 2, title="Nurse", skills=["sql"]), posting("10", 2, skills=["java"])))
+    for table in upkeep.LAYERED:
+        folders = [f"{live.store.root}/{f}" for p, f in second.tables[table].items() if first.tables[table].get(p) != f]
+        assert spark.read.parquet(*folders).count() == 2, table
+        assert live.table(table, second).count() == 11, table
+        assert live.table(table, first).count() == 10, table
+    assert live.table("silver", second).filter("title = 'Nurse'").count() == 1
+
+
+def test_folded_layers_hold_what_a_full_build_holds(spark, live, events, folder, monkeypatch):
+    """Extremes are taken back, also by postings that leave a group, before and after layers are folded."""
+    monkeypatch.setattr(upkeep, "LAYERS", 2)
+    companies, seen = ["Acme", "Beta", "Core"], []
+    for stamp in range(1, 4):
+        batch = [
+            posting(
+                str(i), stamp, company_name=companies[(i + stamp) % 3], company_domain=f"d{i % 4}-{stamp // 2}.com",
+                company_industry=None if i % 5 == 0 else "Rail", skills=[f"s{i % 3}"], is_remote=i % 2 == 0,
+                salary_min=None if i % 7 == 0 else 50000.0 + 1000 * ((i * 7 + stamp * 5) % 13), city="Oslo" if i % 2 else "Bergen",
+            )
+            for i in range(20) if stamp == 1 or i % 3 == stamp % 3
+        ]
+        seen += batch
+        version = live.apply(events(*batch))
+        assert len(version.tables["latest"]) < 2 or stamp == 1
+    same_as_full(spark, live, folder, events(*seen))
+    keys = [r.fact_key for r in live.table("fact_job_postings").collect()]
+    assert sorted(keys) == list(range(1, 21))
+    assert live.table("bridge_job_skills").count() == 20
+
+
+def test_extremes_that_are_taken_back_are_open(spark):
+    """Only a lost extreme that no new row reaches asks for the rows."""
+    ends = {"low": increment.End(F.col("x")), "high": increment.End(F.col("x"), highest=True)}
+
+    def delta(*rows):
+        return increment.delta(spark.createDataFrame(list(rows), f"k string, {increment.SIGN} int, x double"), ["k"], {}, ends)
+
+    state = delta(("a", 1, 1.0), ("a", 1, 5.0), ("b", 1, 2.0), ("b", 1, 3.0), ("c", 1, 4.0), ("d", 1, 7.0), ("d", 1, 8.0))
+    state = state.drop("_lost_low", "_lost_high")
+    more = delta(("a", -1, 1.0), ("a", 1, 0.5), ("b", -1, 3.0), ("c", -1, 4.0), ("d", -1, 7.0), ("d", 1, 7.0), (None, 1, 1.0))
+    after = increment.merged(state, more, ["k"], ends)
+    found = {r.k: (r.low, r.high, r[increment.OPEN]) for r in after.collect()}
+    assert found["a"] == (0.5, 5.0, False) and found["d"] == (7.0, 8.0, False) and found[None] == (1.0, 1.0, False)
+    assert found["b"][2] and "c" not in found
+    rows = spark.createDataFrame([("a", 0.1), ("b", 2.0)], "k string, x double")
+    whole = {r.k: (r.low, r.high) for r in increment.settled(after, rows, ["k"], ends).collect()}
+    assert whole == {"a": (0.5, 5.0), "b": (2.0, 2.0), "d": (7.0, 8.0), None: (1.0, 1.0)}
+
+
 def test_states_merge_in_any_order(spark):
     changes = spark.createDataFrame(
         [("a", 1, 10.25), ("a", -1, 10.25), ("a", 1, 0.5), ("b", 1, None), (None, 1, 2.0)], f"k string, {increment.SIGN} int, x double"
