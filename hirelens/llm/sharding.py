@@ -74,6 +74,11 @@ def scattered(docs: DataFrame, shards: int, bucket_bytes: int, seed: int) -> Dat
     })
 
 
+def gathered(records: DataFrame) -> DataFrame:
+    """records with each bucket in one partition, dealt by rows: hashes of a few buckets would put many into one task."""
+    return records.repartitionByRange("__shard", "__bucket")
+
+
 def shuffled(docs: DataFrame, path: str, shards: int = 16, bucket_bytes: int = 16 << 20, seed: int = 20240917) -> DataFrame:
     """Write docs, shuffled, below ``path`` in one folder for each shard; return them with their slots.
 
@@ -90,7 +95,7 @@ def shuffled(docs: DataFrame, path: str, shards: int = 16, bucket_bytes: int = 1
         np.random.Generator(np.random.PCG64([seed, shard, bucket])).shuffle(order)
         return table.take(pa.array(order)).append_column("__at", pa.array(np.arange(len(order))))
 
-    done = records.groupBy("__shard", "__bucket").applyInArrow(fisher_yates, schema)
+    done = gathered(records).groupBy("__shard", "__bucket").applyInArrow(fisher_yates, schema)
     done.sortWithinPartitions("__shard", "__bucket", "__at").write.partitionBy("__shard").parquet(path)
     written = spark.read.schema(schema).parquet(path)
     before = Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -434,3 +434,24 @@ def test_long_malformed_pages_take_linear_time(piece):
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string, text string")
     assert html_extraction.extracted(pages).collect() == []
+
+
+def test_no_task_takes_many_buckets(spark):
+    """48 buckets of much the same size over 48 partitions: none holds more than a few."""
+    docs = spark.range(4800).select(F.col("id").alias("doc_id"), F.repeat(F.col("id").cast("string"), 50).alias("text"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 48)
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        records = sharding.scattered(docs, 16, 19_000, 1)
+        buckets = records.select("__shard", "__bucket").distinct().count()
+        grouped = sharding.gathered(records).groupBy("__shard", "__bucket", F.spark_partition_id().alias("task")).count()
+        rows = grouped.collect()
+        plan = sharding.gathered(records).groupBy("__shard", "__bucket").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == buckets >= 40, "a bucket is in one task"
+    held = Counter(r["task"] for r in rows)
+    assert max(held.values()) <= 3
+    assert "hashpartitioning" not in plan, "the buckets are not dealt again by hash"
