@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +36,10 @@ NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 UNIGRAM, BPE = 1, 2
 _BYTE_NAME = re.compile("<0x[0-9A-Fa-f]{2}>")
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-#: Bound on the remembered stretches of a worker, about 100 bytes each.
-REMEMBERED = 200_000
+#: Bound on the remembered stretches of a worker, about 200 bytes each.
+REMEMBERED = 300_000
 #: Stretches that are joined into one call.
-GROUP = 500
+GROUP = 50
 
 
 def fields(data: bytes):
@@ -111,6 +112,29 @@ def merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     return [pair[3:] for pair in sorted(found)]
 
 
+class Numbers(dict):
+    """Stretches by number. One not met before gets the next number and is noted in ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        self.new.append(unit)
+        return number
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all spans, one span after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def bounds(sizes) -> np.ndarray:
+    """Where rows of these sizes begin, and the end of the last."""
+    return np.concatenate(([0], np.cumsum(np.asarray(sizes, np.int64))))
+
+
 class Codec:
     def __init__(self, data: bytes):
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -141,8 +165,13 @@ class Codec:
         self.bytes_of = [
             bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() if kind in plain and not _BYTE_NAME.fullmatch(piece) else None for piece, _, kind in model.pieces
         ]
+        self.piece_bytes = np.frombuffer(b"".join(b or b"" for b in self.bytes_of), np.uint8)
+        self.piece_sizes = np.array([len(b or b"") for b in self.bytes_of], np.int64)
+        self.piece_starts = bounds(self.piece_sizes)[:-1]
+        self.opening = np.array([kind in plain and piece[:1] == MARK for piece, _, kind in model.pieces])
+        self.no_bytes = np.array([b is None for b in self.bytes_of])
         self.core.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
-        self.units: dict[str, tuple[int, ...]] = {}
+        self.forget()
 
     def normalised(self, text: str) -> str:
         if not text:
@@ -157,37 +186,77 @@ class Codec:
             return [text] if text else []
         if MARK + MARK in text:
             return _UNITS.findall(text)
-        first, *rest = text.split(MARK)
-        return ([first] if first else []) + [MARK + x for x in rest]
+        if not text or " " in text:
+            first, *rest = text.split(MARK)
+            return ([first] if first else []) + [MARK + x for x in rest]
+        parts = text.replace(MARK, " " + MARK).split(" ")
+        return parts if parts[0] else parts[1:]
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of each text, and whether decoding them gives the normalised text back.
+        """Ids of each text, and whether decoding them gives the normalised text back."""
+        ids, rows, round_trip = self.encode_flat(texts)
+        every = ids.tolist()
+        return [every[low:high] for low, high in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True)], round_trip
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        """What ``encode`` returns, the ids one text after another and the bounds of the texts.
 
         Stretches not met before go to the library in one batch, for its threads; what they gave is
         remembered, up to ``REMEMBERED`` of them.
         """
         wanted = [self.normalised(t) for t in texts]
         parts = [self.split(t) for t in wanted]
-        self._learn(list(set().union(*parts) - self.units.keys()))
-        found = [list(chain.from_iterable(map(self.units.__getitem__, p))) for p in parts]
+        units = bounds([len(p) for p in parts])
+        numbers = np.fromiter(map(self.units.__getitem__, chain.from_iterable(parts)), np.int64, units[-1])
+        self._learn()
+        sizes = self.sizes[numbers]
+        ids, rows = self.ids[spans(self.starts[numbers], sizes)], bounds(sizes)[units]
         if len(self.units) > REMEMBERED:
             self.forget()
-        return found, [got == self._unmarked(t.replace(MARK, " ")) for got, t in zip(self.decode(found), wanted, strict=True)]
+        return ids, rows, self._round_trip(ids, rows, wanted)
 
     def forget(self) -> None:
-        self.units.clear()
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode stretches; those with one leading marker are joined, as each call has its price."""
-        simple = [u for u in new if u[0] == MARK and u.count(MARK) == 1]
+        self.units = Numbers()
+        #: Ids of all stretches, and where those of each begin and how many they are.
+        self.ids, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self) -> None:
+        """Encode the new stretches; those with one leading marker are joined, as each call has its price."""
+        new, self.units.new = self.units.new, []
+        if not new:
+            return
+        alone = np.array([u[0] == MARK and u.count(MARK) == 1 for u in new])
+        simple, others = [u for u, is_simple in zip(new, alone, strict=True) if is_simple], [u for u, is_simple in zip(new, alone, strict=True) if not is_simple]
         groups = [simple[i : i + GROUP] for i in range(0, len(simple), GROUP)]
-        for group, e in zip(groups, self.joined.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids, owner = e.ids, e.word_ids
-            cuts = [i for i in range(1, len(ids)) if owner[i] != owner[i - 1]]
-            for unit, low, high in zip(group, [0, *cuts], [*cuts, len(ids)], strict=True):
-                self.units[unit] = tuple(ids[low:high])
-        others = [u for u in new if u[0] != MARK or u.count(MARK) != 1]
-        self.units |= {u: tuple(e.ids) for u, e in zip(others, self.core.encode_batch_fast(others, add_special_tokens=False), strict=True)}
+        ids = [np.array(e.ids, np.int32) for e in self.joined.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)]
+        counts = [self._counts(group, own) for group, own in zip(groups, ids, strict=True)]
+        rest = self.core.encode_batch_fast(others, add_special_tokens=False)
+        ids += [np.array(e.ids, np.int32) for e in rest]
+        sizes, places = np.empty(len(new), np.int64), np.concatenate((np.flatnonzero(alone), np.flatnonzero(~alone)))
+        sizes[places] = np.concatenate([*counts, np.array([len(e) for e in rest], np.int64)])
+        starts = np.empty(len(new), np.int64)
+        starts[places] = bounds(sizes[places])[:-1] + len(self.ids)
+        self.ids, self.starts, self.sizes = np.concatenate([self.ids, *ids]), np.concatenate((self.starts, starts)), np.concatenate((self.sizes, sizes))
+
+    def _counts(self, group: list[str], ids: np.ndarray) -> np.ndarray:
+        """How many ids each stretch of a group has. The marker is its first character and in no other place, so a piece with a marker opens it."""
+        opens = np.flatnonzero(self.opening[ids])
+        if len(opens) == len(group):
+            return np.diff(opens, append=len(ids))
+        (slow,) = self.joined.encode_batch(["".join(group)], add_special_tokens=False)  # the marker is no piece of its own
+        return np.bincount(np.array(slow.word_ids, np.int64), minlength=len(group))
+
+    def _round_trip(self, ids: np.ndarray, rows: np.ndarray, wanted: list[str]) -> list[bool]:
+        """Whether the ids of each row decode to its text; what is not so byte by byte is decoded once more by ``decode``."""
+        sizes = self.piece_sizes[ids]
+        got = self.piece_bytes[spans(self.piece_starts[ids], sizes)].tobytes()
+        cuts, unknown = bounds(sizes)[rows].tolist(), bounds(self.no_bytes[ids])[rows]
+        texts = [t.replace(MARK, " ") for t in wanted]
+        same = [got[low:high] == t.encode() for t, low, high in zip(texts, cuts[:-1], cuts[1:], strict=True)]
+        left = [i for i, equal in enumerate(same) if not equal or unknown[i] != unknown[i + 1]]
+        for i, text in zip(left, self.decode([ids[rows[i] : rows[i + 1]].tolist() for i in left]), strict=True):
+            same[i] = text == self._unmarked(texts[i])
+        return same
 
     def _unmarked(self, text: str) -> str:
         return text[1:] if self.model.normaliser["prefix"] and text[:1] == " " else text
@@ -246,15 +315,17 @@ def encoded(docs: DataFrame, model_path: str, threads: int = 2, parity_share: in
             checked = batch["__checked"].to_pylist()
             for part in tools.chunks([len(t) for t in texts]):
                 some = texts[part]
-                ids, round_trip = codec.encode(some)
+                ids, cuts, round_trip = codec.encode_flat(some)
                 parity: list[bool | None] = [None] * len(some)
                 distinct = list({t: None for t, wanted in zip(some, checked[part], strict=True) if wanted})
                 if distinct:
                     judge = judge or reference(shared.value)
                     right = dict(zip(distinct, judge.encode(distinct, num_threads=1), strict=True))
-                    parity = [right[t] == own if wanted else None for t, own, wanted in zip(some, ids, checked[part], strict=True)]
+                    every, at = ids.tolist(), cuts.tolist()
+                    parity = [right[t] == every[low:high] if wanted else None for t, low, high, wanted in zip(some, at[:-1], at[1:], checked[part], strict=True)]
                 rows = batch.slice(part.start, len(some)).select(columns)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(round_trip), pa.array(parity, pa.bool_())], [*columns, *own])
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, lists, pa.array(round_trip), pa.array(parity, pa.bool_())], [*columns, *own])
         codec.forget()  # the worker may live on for other stages
 
     check = F.lit(False) if not parity_share else F.xxhash64("__text") % parity_share == 0

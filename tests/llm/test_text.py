@@ -289,6 +289,32 @@ def test_codec_rebuilds_unigram_models():
     assert codec.encode(texts)[0] == [judge.encode(t) for t in texts]
 
 
+def test_codec_ids_of_many_rows_are_one_array(monkeypatch):
+    """Rows are bounds in an array of ids, whatever was remembered, forgotten or joined in a call."""
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 40)
+    data = open(MODEL, "rb").read()
+    codec, judge = sentencepiece_codec.Codec(data), sentencepiece_codec.reference(data)
+    texts = [t or "" for t in CODEC_TEXTS[:-1]] + [" ".join(f"w{i % 90}x{i * i}" for i in range(n)) for n in (0, 1, 49, 50, 51, 130)]
+    for part in (texts, texts[::-1], [""], []):
+        ids, rows, same = codec.encode_flat(part)
+        assert isinstance(ids, np.ndarray) and len(rows) == len(part) + 1 and rows[-1] == len(ids)
+        assert [ids[a:b].tolist() for a, b in zip(rows[:-1], rows[1:])] == [judge.encode(t) for t in part]
+        assert same == [True] * len(part) and len(codec.units) <= 40 + sum(len(t.split(" ")) for t in part)
+
+
+def test_codec_without_a_piece_for_the_marker():
+    """Stretches cannot be told apart by their first piece then."""
+    import struct
+
+    field = lambda number, data: varint(number << 3 | 2) + varint(len(data)) + data
+    pieces = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3), *((f"<0x{i:02X}>", 0, 6) for i in range(256)), *((c, -3, 1) for c in "abcd"), ("ab", -2, 1), ("cd", -2, 1)]
+    data = b"".join(field(1, field(1, p.encode()) + b"\x15" + struct.pack("<f", s) + b"\x18" + bytes([k])) for p, s, k in pieces)
+    data += field(2, b"\x18\x01" + varint(35 << 3) + b"\x01") + field(3, field(1, b"identity") + b"\x18\x01\x20\x00\x28\x01")
+    codec, judge = sentencepiece_codec.Codec(data), sentencepiece_codec.reference(data)
+    texts = ["ab cd", "abcd ab  cd a", "cd", "a b c d ab"]
+    assert codec.encode(texts)[0] == [judge.encode(t) for t in texts]
+
+
 # --- many matches, and the SQL counterparts on rows the test tables lack --------------------------
 
 
