@@ -271,3 +271,18 @@ def test_rows_of_shared_keys(spark, monkeypatch):
     kept = tools.of_shared_keys(found, found.groupBy("k").count().filter("count > 1"), "k", ["x"])
     assert sorted(map(tuple, kept.collect())) == sorted(r for r in rows if r[0] < 1000) and kept.columns == ["k", "x"]
     assert tools.of_shared_keys(found.limit(0), found.groupBy("k").count(), "k", ["x"]).count() == 0
+
+
+def test_batches_for_workers_are_bounded_in_bytes(spark):
+    """A thousand long texts, or pairs of them, are many megabytes."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "rows"])
+
+    tools.small_batches(spark)
+    texts = spark.range(0, 1200, 1, 1).select(F.repeat(F.lit("é"), 20_000).alias("text"))
+    found = texts.mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r["rows"] for r in found) == 1200
+    assert max(r["bytes"] for r in found) < 2 * tools.BATCH_BYTES
