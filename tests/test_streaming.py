@@ -151,6 +151,22 @@ def test_pace_limits_files_per_batch(spark, land, folder):
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [1, 1, 1]
 
 
+def test_a_backlog_of_days_makes_no_file_for_every_state_partition_and_day(spark, land, folder):
+    """Files are days by writing tasks, however many partitions the state has; every row lands."""
+    writers = bronze.WRITERS_PER_CORE * spark.sparkContext.defaultParallelism
+    source, out, before = folder("in"), folder("out"), spark.conf.get("spark.sql.shuffle.partitions")
+    stamps = [f"2024-05-{day:02d}T10:00:00Z" for day in (1, 2)]
+    land(source, *[message(str(i), ingestion_timestamp=stamps[i % 2]) for i in range(40 * writers)])
+    spark.conf.set("spark.sql.shuffle.partitions", 2 * writers)
+    try:
+        drain(spark, source, out, folder("checkpoint"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = lake.read_bronze(spark, out)
+    assert rows.count() == rows.select("job_id").distinct().count() == 40 * writers
+    assert rows.select(F.input_file_name()).distinct().count() <= 2 * writers
+
+
 def test_processing_time_trigger_and_supervision(spark, land, folder):
     source, out = folder("in"), folder("out")
     land(source, message())
