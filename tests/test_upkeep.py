@@ -100,6 +100,24 @@ def test_an_increment_writes_its_own_rows_only(spark, events, folder):
     assert live.table("silver", second).filter("title = 'Nurse'").count() == 1
 
 
+def test_rows_alone_with_their_id_are_not_compared(spark, live, events, folder, monkeypatch):
+    """Of 100 rows that arrive, those that repeat an id or renew a posting meet the window; the others do not."""
+    seen = [posting(f"J{i}", 3, company_name=f"C{i % 7}") for i in range(50)]
+    live.apply(events(*seen))
+    compared, keep = [], upkeep.silver.deduplicated
+    monkeypatch.setattr(upkeep.silver, "deduplicated", lambda rows: compared.append(rows.count()) or keep(rows))
+    batch = [posting(f" N{i} ", 4, skills=["sql"]) for i in range(95)]
+    batch += [posting("N1", 5, title="Nurse"), posting("N1", 4), posting("J1", 4, title="Nurse"), posting("J2", 2), posting(None, 4)]
+    path = folder("arrived")
+    events(*batch).write.parquet(path)
+    version = live.apply(spark.read.parquet(path), stored=True)
+    assert compared == [7]  # three of N1, two of J1 and J2 that arrive, two that are there
+    assert version.number == 2 and live.table("latest").count() == 145
+    assert {r.job_id for r in live.table("silver").filter("title = 'Nurse'").collect()} == {"N1", "J1"}
+    monkeypatch.undo()
+    same_as_full(spark, live, folder, events(*seen, *batch))
+
+
 def test_folded_layers_hold_what_a_full_build_holds(spark, live, events, folder, monkeypatch):
     """Extremes are taken back, also by postings that leave a group, before and after layers are folded."""
     monkeypatch.setattr(upkeep, "LAYERS", 2)
