@@ -45,3 +45,38 @@ def test_a_large_part_is_several_files(spark, folder):
         spark.conf.unset(size)
     table = store.read(version, "t", rows.schema)
     assert table.count() == 60000 and len(table.inputFiles()) > 1
+
+
+def test_messages_land_in_order_of_time_without_a_shuffle(spark):
+    """A batch's worth of files for each quarter; the rows of a staged file go to one file of a quarter."""
+    rows = spark.range(0, 4000, 1, 20).select(
+        F.concat_ws(" ", F.spark_partition_id(), "id").alias("value"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(100_000))).alias("timestamp"),
+    )
+
+    class Own(catalogue.Context):
+        def messages(self):
+            return rows
+
+    path = Own(spark, "").landed_messages()
+    landed = spark.read.parquet(path).withColumns({"file": F.col("_metadata.file_path"), "landed": F.col("_metadata.file_modification_time")})
+    assert landed.select("value", "timestamp").exceptAll(rows).isEmpty() and landed.count() == 4000
+    files = landed.groupBy("file", "landed").agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")).orderBy("landed").collect()
+    quarters = [files[i : i + catalogue.FILES] for i in range(0, len(files), catalogue.FILES)]
+    assert len(files) == 4 * catalogue.FILES
+    for early, late in zip(quarters, quarters[1:], strict=False):
+        assert max(f.high for f in early) < min(f.low for f in late)
+    spread = landed.groupBy(F.split("value", " ")[0]).agg(F.count_distinct("file").alias("files"))
+    assert spread.agg(F.max("files")).first()[0] == 4
+
+
+def test_few_files_of_messages_are_spread(spark):
+    rows = spark.range(0, 400, 1, 3).select(F.col("id").cast("string").alias("value"), F.timestamp_seconds("id").alias("timestamp"))
+
+    class Own(catalogue.Context):
+        def messages(self):
+            return rows
+
+    landed = spark.read.parquet(Own(spark, "").landed_messages())
+    assert landed.exceptAll(rows).isEmpty() and landed.count() == 400
+    assert landed.select(F.input_file_name()).distinct().count() == 4 * catalogue.FILES

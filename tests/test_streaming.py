@@ -167,6 +167,21 @@ def test_a_backlog_of_days_makes_no_file_for_every_state_partition_and_day(spark
     assert rows.select(F.input_file_name()).distinct().count() <= 2 * writers
 
 
+@pytest.mark.parametrize("mode", ["global", "windowed"])
+def test_what_follows_from_a_row_is_not_shuffled(spark, batch, land, folder, mode):
+    """Times other than the stamp are added behind the de-duplication, and are the same."""
+    source = folder("in")
+    land(source, message(ingestion_timestamp=at("00:00:00")))
+    for messages in (batch(message()), sources.from_files(spark, source)):
+        processed = bronze.process(messages, mode)
+        below = processed._jdf.queryExecution().analyzed().toString().split("Deduplicate")[1]
+        assert not any(name in below for name in ("posted_time", "processing_time", "ingest_day"))
+    texts = [message("1", ingestion_timestamp=at("01:02:03"), posted_at=at("00:00:01")), message("2", ingestion_timestamp="soon")]
+    first, second = bronze.process(batch(*texts)).orderBy("job_id").collect()
+    assert first.ingestion_time == dt.datetime(2024, 5, 1, 1, 2, 3) and first.posted_time == dt.datetime(2024, 5, 1, 0, 0, 1)
+    assert second.ingestion_time == second.processing_time and second.posted_time == NOON
+
+
 def test_processing_time_trigger_and_supervision(spark, land, folder):
     source, out = folder("in"), folder("out")
     land(source, message())
