@@ -62,6 +62,39 @@ def test_parts_and_files_stay_few(sink, rows):
     assert one_day.count() == 65 and "ingest_day" in pruned
 
 
+def test_tiers_that_fill_up_at_once_are_written_once(spark, sink, rows):
+    """Seven batches by twos are two merged parts and a single one; nothing is written on the way to them."""
+    for number in range(7):
+        sink(rows(*range(10 * number, 10 * number + 10)), number)
+    found = sink.compact()
+    assert sorted(found.tables[commits.TABLE]) == ["0-000000000006-000000000006", "1-000000000004-000000000005", "2-000000000000-000000000003"]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{sink.store.root}/{commits.TABLE}")
+    assert len(folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)) == 7 + 2
+    assert ids(sink) == list(range(70)) and sink.compact().number == found.number
+
+
+def test_a_batch_is_computed_once(spark, sink, rows, monkeypatch):
+    """The table's part is the only copy of a batch; the preview is read from it."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        computed.add(1)
+        return value
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *_: pytest.fail("a second copy"))
+    counted = F.udf(seen, "string").asNondeterministic()
+    sink(rows(1, 2, 3).withColumn("job_id", counted("job_id")), 0)
+    assert ids(sink) == [1, 2, 3] and commits.read_preview(sink.store).count() == 2
+    assert computed.value == 3
+
+
+def test_an_empty_batch_leaves_no_folder(spark, sink, rows):
+    sink(rows(1), 0)
+    sink(rows(2).limit(0), 1)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{sink.store.root}/{commits.TABLE}")
+    assert len(folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)) == 1 and ids(sink) == [1]
+
+
 def test_empty_batches_publish_nothing(sink, rows):
     sink(rows(1).limit(0), 0)
     assert sink.store.current().number == 0 and ids(sink) == [] and commits.read_preview(sink.store).count() == 0
