@@ -2,9 +2,10 @@
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens.plans import forest_table, salary_model
 
@@ -70,3 +71,34 @@ def test_a_walk_is_one_pass_over_the_rows(spark, capsys):
     found.explain()
     plan = capsys.readouterr().out
     assert plan.count("Join") <= 2 and "explode" not in plan
+
+
+def test_nodes_that_ask_the_same_are_one_test(spark, capsys):
+    """Sparse, dense and missing vectors leave Spark as they are, and each different test is answered once."""
+    nodes = "tree int, node int, prediction double, feature int, threshold double, left_values array<double>, left int, right int"
+    tree = [(0, 0.0, 3, 0.5, None, 1, 2), (1, 0.0, 1, None, [1.0], 3, 4), (2, 0.0, 3, 0.5, None, 5, 6), *((i, float(i), -1, None, None, -1, -1) for i in (3, 4, 5, 6))]
+    other = [(0, 0.0, 1, None, [1.0], 1, 2), (1, 10.0, -1, None, None, -1, -1), (2, 20.0, -1, None, None, -1, -1)]
+    forest = spark.createDataFrame([(4, *n) for n in tree] + [(9, *n) for n in other], nodes)
+    assert len(forest_table._arrays(forest)[4]) == 2
+    vectors = {
+        "a": Vectors.sparse(6, {1: 1.0, 5: 7.0}), "b": Vectors.dense([0, 2.0, 0, 0.5, 0, 0]), "c": Vectors.sparse(6, {}), "d": None,
+        "e": Vectors.sparse(6, {0: 1.0, 3: float("nan")}), "f": Vectors.dense([9.0, 1.0, 9.0, 0.75, 9.0, 9.0]), "g": Vectors.sparse(6, {3: 0.0, 4: 1.0}),
+    }
+    rows = spark.createDataFrame(list(vectors.items()), T.StructType([T.StructField("id", T.StringType()), T.StructField("features", VectorUDT())])).coalesce(1)
+    expected = {"a": 6.5, "b": 12.0, "c": 12.0, "d": 12.0, "e": 13.0, "f": 8.0, "g": 12.0}
+    found = forest_table.scored(rows, forest, 3, "id")
+    assert {r.id: r.table_prediction for r in found.collect()} == expected
+    capsys.readouterr()
+    found.explain()
+    assert "lambda" not in capsys.readouterr().out
+
+
+def test_a_block_may_be_smaller_than_a_batch(spark, monkeypatch):
+    forest = spark.createDataFrame(
+        [(0, 0, 0.0, 0, 4.5, None, 1, 2), (0, 1, 1.0, -1, None, None, -1, -1), (0, 2, 3.0, -1, None, None, -1, -1)],
+        "tree int, node int, prediction double, feature int, threshold double, left_values array<double>, left int, right int",
+    )
+    vectors = [(i, Vectors.dense([float(i)]) if i % 2 else Vectors.sparse(1, {0: float(i)})) for i in range(10)]
+    monkeypatch.setattr(forest_table, "BLOCK", 3)
+    found = forest_table.scored(spark.createDataFrame(vectors, ["id", "features"]).coalesce(1), forest, 1, "id")
+    assert {r.id: r.table_prediction for r in found.collect()} == {i: 1.0 if i < 5 else 3.0 for i in range(10)}
